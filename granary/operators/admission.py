@@ -20,7 +20,9 @@ def judge(events: DataFrame, donors: DataFrame, banks: DataFrame, camps: DataFra
     wide = attach(events, donors, {"donor_id": "donor_id"}, {"blood_group": "_donor_group"}, spread, "_donor")
     wide = known(wide, "blood_bank_id", banks, "blood_bank_id", "_bank")
     wide = attach(wide, camps, {"camp_id": "camp_id"}, {}, spread, "_camp")
-    wide = known(wide, "donation_id", stored, "donation_id", "_stored")
+    # Only the stored ids this batch repeats matter: the store is filtered by the batch, not shuffled whole.
+    repeated_ids = stored.select("donation_id").join(events.select("donation_id"), "donation_id", "left_semi")
+    wide = known(wide, "donation_id", repeated_ids, "donation_id", "_stored")
 
     # Rules in order, each with its reason.
     rules = [

@@ -22,6 +22,10 @@ def _any_null(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
 
 
+def _slot_of(columns: Sequence[Column]) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(NULL_SLOTS)).cast("int")
+
+
 def dedupe(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = (), collapse_null_keys: bool = False) -> DataFrame:
     """One row per key: the smallest by ``prefer``, then by every other column.
 
@@ -63,24 +67,27 @@ def attach(fact: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Mapping
 
     ``on`` maps fact key to dimension key. Fact rows with a NULL key part can match nothing, so
     when ``spread`` names a fact column they are dealt over slots by its hash instead of all
-    landing on the one partition that NULL hashes to. ``found`` adds a flag telling whether the
-    dimension row existed, independent of NULLs in its attributes.
+    landing on the one partition that NULL hashes to. Rows with a key take the slot of their key,
+    which the dimension row shares; a constant slot would be folded out of the join key.
+    ``found`` adds a flag telling whether the dimension row existed, independent of NULLs in its
+    attributes.
     """
     side = dim.select(
         *[F.col(theirs).alias(f"_k{i}") for i, theirs in enumerate(on.values())],
         *[F.col(column).alias(name) for column, name in take.items()],
-        F.lit(0).alias("_slot"),
+        _slot_of([F.col(theirs) for theirs in on.values()]).alias("_slot"),
         F.lit(True).alias("_found"),
     )
-    pairs = [fact[ours] == side[f"_k{i}"] for i, ours in enumerate(on)]
+    kept = fact.columns
     if spread is not None:
-        slot = F.when(_any_null(list(on)), F.pmod(F.xxhash64(spread), F.lit(NULL_SLOTS)).cast("int")).otherwise(0)
+        same_type = [F.col(ours).try_cast(dim.schema[theirs].dataType) for ours, theirs in on.items()]
+        slot = F.when(_any_null(list(on)), _slot_of([F.col(spread)])).otherwise(_slot_of(same_type))
         fact = fact.withColumn("_fact_slot", slot)
-        pairs = [fact[ours] == side[f"_k{i}"] for i, ours in enumerate(on)]
+    pairs = [fact[ours] == side[f"_k{i}"] for i, ours in enumerate(on)]
+    if spread is not None:
         pairs.append(fact["_fact_slot"] == side["_slot"])
     joined = fact.join(side, reduce(lambda a, b: a & b, pairs), "left")
     extra = [F.coalesce(F.col("_found"), F.lit(False)).alias(found)] if found else []
-    kept = [c for c in fact.columns if c != "_fact_slot"]
     return joined.select(*[fact[c] for c in kept], *[side[n] for n in take.values()], *extra)
 
 

@@ -15,6 +15,7 @@ from granary.functions.bands import label, translate
 from granary.functions.scores import severity, tier_priority
 from granary.operators.keyed import attach
 from granary.operators.rank import competition_rank
+from granary.operators.shared_store import settle
 from granary.policy import Policy
 
 _PLACE = {"blood_bank_name": "blood_bank_name", "city": "city", "state": "state"}
@@ -120,8 +121,9 @@ def per_bank_watch_stock(inventory: DataFrame, policy: Policy) -> DataFrame:
 
 
 def center_ranking(inventory: DataFrame, banks: DataFrame, policy: Policy) -> DataFrame:
-    """Banks ranked by watch-listed units."""
-    ranked = competition_rank(per_bank_watch_stock(inventory, policy), "rare_blood_units", "center_rank")
+    """Banks ranked by watch-listed units. The ranking reads its input three times, so it is settled first."""
+    held = settle(per_bank_watch_stock(inventory, policy))
+    ranked = competition_rank(held, "rare_blood_units", "center_rank")
     return located(ranked, banks).select(
         "blood_bank_id", "blood_bank_name", "city", "state",
         "rare_blood_units", "rare_blood_types_available", "center_rank",

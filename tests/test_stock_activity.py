@@ -1,0 +1,191 @@
+import datetime as dt
+
+import pytest
+
+from conftest import by, rows
+from granary.operators import activity, board, stock
+
+DAY = dt.datetime(2026, 8, 1, 10)
+
+
+@pytest.fixture
+def inventory(spark):
+    lines = [
+        ("i1", "B1", "O-", 0, "CRITICAL"), ("i2", "B2", "O-", 4, "LOW"), ("i3", "B3", "O-", 3, "LOW"),
+        ("i4", "B1", "A-", 0, "CRITICAL"), ("i5", "B2", "A-", 0, "CRITICAL"),
+        ("i6", "B1", "B-", 5, "LOW"), ("i7", "B9", "B-", 1, "LOW"),
+        ("i8", "B1", "A+", 40, "GOOD"),
+    ]
+    return spark.createDataFrame(
+        [(i, b, g, u, DAY, s) for i, b, g, u, s in lines],
+        "inventory_id string, blood_bank_id string, blood_group string, available_units int, last_updated timestamp, inventory_status string",
+    )
+
+
+@pytest.fixture
+def banks(spark):
+    return spark.createDataFrame(
+        [("B1", "One", "Pune", "MH", 18.5, 73.8, 100), ("B2", "Two", "Pune", "MH", None, None, 50),
+         ("B3", "Three", None, "KA", 12.9, 77.5, 70), ("B4", "Four", "Agra", "UP", 27.1, 78.0, 10)],
+        "blood_bank_id string, blood_bank_name string, city string, state string, latitude double, longitude double, storage_capacity int",
+    )
+
+
+@pytest.fixture
+def donors(spark):
+    return spark.createDataFrame(
+        [("D1", "Ann", "O-", "Pune"), ("D2", "Ben", "O-", "Agra"), ("D3", "Cy", "A+", "Pune"), ("D4", "Di", None, "Pune")],
+        "donor_id string, full_name string, blood_group string, city string",
+    )
+
+
+@pytest.fixture
+def donations(spark):
+    day = lambda m, d: dt.date(2026, m, d)
+    return spark.createDataFrame(
+        [("X1", "D1", "B1", "C1", day(1, 5), "O-", 2, "Completed"), ("X2", "D1", "B2", None, day(1, 5), "O-", 1, "Completed"),
+         ("X3", "D3", "B1", "C1", day(2, 1), "A+", 3, "Completed"), ("X4", "D2", "B1", "C2", day(2, 1), "O-", 1, "Cancelled"),
+         ("X5", "D3", "B3", None, day(2, 9), "A+", 1, "Completed")],
+        "donation_id string, donor_id string, blood_bank_id string, camp_id string, donation_date date, blood_group string, units_donated int, donation_status string",
+    )
+
+
+def test_group_summary_counts_only_stocked_centers(inventory):
+    got = by(stock.group_summary(inventory), "blood_group")
+    assert (got["O-"]["total_available_units"], got["O-"]["number_of_centers"], got["O-"]["average_units_per_center"],
+            got["O-"]["minimum_units"], got["O-"]["maximum_units"]) == (7, 2, 3.5, 0, 4)
+    assert (got["A-"]["number_of_centers"], got["A-"]["average_units_per_center"]) == (0, None)
+
+
+def test_two_lines_of_one_bank_count_once(spark, inventory):
+    twice = inventory.unionByName(inventory)
+    got = by(stock.rollup(twice, ["blood_group"]), "blood_group")
+    assert (got["O-"]["banks_seen"], got["O-"]["banks_stocked"], got["O-"]["banks_empty"], got["O-"]["total_available_units"]) == (3, 2, 1, 14)
+
+
+def test_tiered_availability_and_shortages(inventory, policy):
+    got = by(stock.tiered_availability(inventory, policy), "blood_group")
+    assert {g: (r["availability_status"], r["priority_score"]) for g, r in got.items()} == {
+        "O-": ("MODERATE", 38), "A-": ("CRITICAL", 100), "B-": ("MODERATE", 38)}
+    report = [tuple(r) for r in stock.tiered_shortages(inventory, policy).select("blood_group", "shortage_level").collect()]
+    assert report == [("A-", "CRITICAL"), ("B-", "MODERATE"), ("O-", "MODERATE")]
+
+
+def test_lines_of_unknown_banks_stay(inventory, banks, policy):
+    got = by(stock.tiered_centers(inventory, banks, policy), "blood_bank_id", "blood_group")
+    assert got[("B9", "B-")]["blood_bank_name"] is None and len(got) == 7
+
+
+def test_empty_lines(inventory, banks, policy):
+    assert rows(stock.empty_lines(inventory, banks, policy), "blood_bank_id", "blood_group", "status") == [
+        ("B1", "A-", "NO STOCK"), ("B1", "O-", "NO STOCK"), ("B2", "A-", "NO STOCK")]
+
+
+def test_cities_count_stock_in_an_unknown_city(inventory, banks, policy):
+    got = by(stock.tiered_cities(inventory, banks, policy), "city", "state", "blood_group")
+    assert (got[(None, "KA", "O-")]["total_available_units"], got[(None, "KA", "O-")]["number_of_centers"]) == (3, 1)
+    assert got[("Pune", "MH", "O-")]["status"] == "LOW"
+    other = by(stock.cities(inventory, banks, policy), "city", "state", "blood_group")
+    assert (other[("Pune", "MH", "O-")]["number_of_blood_banks"], other[("Pune", "MH", "O-")]["banks_with_stock"]) == (2, 1)
+
+
+def test_watch_summary_averages_over_all_banks(inventory, policy):
+    got = by(stock.watch_summary(inventory, policy), "blood_group")
+    assert (got["O-"]["average_units_per_bank"], got["A-"]["average_units_per_bank"]) == (2.33, 0.0)
+    assert (got["A-"]["availability_status"], got["A-"]["number_of_banks_out_of_stock"]) == ("OUT_OF_STOCK", 2)
+
+
+def test_severity_report_is_worst_first(inventory, policy):
+    got = [tuple(r) for r in stock.severity_report(inventory, policy).select("blood_group", "severity_score").collect()]
+    assert got == [("A-", 3), ("B-", 1), ("O-", 1)]
+
+
+def test_ranking_shares_ranks(inventory, banks, policy):
+    got = by(stock.center_ranking(inventory, banks, policy), "blood_bank_id")
+    assert {b: (r["rare_blood_units"], r["rare_blood_types_available"], r["center_rank"]) for b, r in got.items()} == {
+        "B1": (5, 1, 1), "B2": (4, 1, 2), "B3": (3, 1, 3), "B9": (1, 1, 4)}
+
+
+def test_watch_list_coverage_lists_absent_groups(inventory, banks, policy):
+    got = by(stock.watch_list_coverage(inventory, banks, policy), "blood_group")
+    assert set(got) == set(policy.watch_list)
+    assert tuple(got["AB-"].values())[1:] == (0, 0, 0, "OUT_OF_STOCK")
+    assert (got["O-"]["centers_available"], got["O-"]["cities_available"], got["O-"]["status"]) == (2, 2, "LOW")
+
+
+def test_record_status_counts(inventory, policy):
+    got = by(stock.record_status_counts(inventory, policy), "blood_group")
+    assert (got["O-"]["critical_records"], got["O-"]["low_records"], got["A-"]["centers_with_stock"]) == (1, 2, 0)
+
+
+def test_null_units_leave_the_label_unknown(spark, policy):
+    inv = spark.createDataFrame([("B1", "O-", None), (None, "O-", None)], "blood_bank_id string, blood_group string, available_units int")
+    got = by(stock.watch_summary(inv, policy), "blood_group")["O-"]
+    assert (got["total_available_units"], got["availability_status"], got["number_of_blood_banks"]) == (None, None, 1)
+
+
+def test_daily_monthly_and_trend(donations, policy):
+    daily = by(activity.daily(donations, policy), "donation_date")
+    assert tuple(daily[dt.date(2026, 1, 5)].values())[1:] == (2, 3, 1, 2)
+    monthly = rows(activity.monthly(donations, policy))
+    assert monthly == [(2026, 1, "January", 2, 3, 1), (2026, 2, "February", 2, 4, 1)]
+    assert rows(board.monthly_labels(activity.monthly(donations, policy)), "period") == [("Feb 2026",), ("Jan 2026",)]
+    assert rows(activity.watch_trend(donations, policy)) == [(dt.date(2026, 1, 5), "O-", 3, 2)]
+    assert rows(activity.contribution(donations, policy)) == [("O-", 2, 3, 1, 2)]
+
+
+def test_distribution_and_nothing_to_share(donations, policy):
+    assert rows(activity.distribution(donations, policy)) == [("A+", 2, 4, 57.14), ("O-", 2, 3, 42.86)]
+    nothing = donations.where("donation_status = 'Cancelled'")
+    assert rows(activity.distribution(nothing, policy)) == []
+    zero = donations.limit(1).selectExpr("donation_id", "blood_group", "donation_status", "CAST(NULL AS INT) units_donated")
+    assert rows(activity.distribution(zero, policy)) == [("O-", 1, None, None)]
+
+
+def test_counting_switch(donations, policy):
+    from dataclasses import replace
+    everything = replace(policy, count_only_completed=False)
+    assert sum(r[1] for r in rows(activity.daily(donations, everything))) == 5
+    assert rows(activity.contribution(donations, everything)) == rows(activity.contribution(donations, policy))
+
+
+def test_every_bank_camp_and_donor_appears(spark, donations, banks, inventory, donors, policy):
+    perf = by(activity.bank_performance(donations, banks, inventory, policy), "blood_bank_id")
+    assert tuple(perf["B4"].values())[4:] == (0, 0, 0, 0, 0)
+    assert tuple(perf["B1"].values())[4:] == (2, 5, 2, 5, 1)
+    camps = spark.createDataFrame([("C1", "Camp 1", "Pune"), ("C9", "Camp 9", "Agra")], "camp_id string, camp_name string, city string")
+    got = by(activity.camp_performance(donations, camps, policy), "camp_id")
+    assert (got["C1"]["total_units_collected"], got["C9"]["total_donations"]) == (5, 0)
+    roster = activity.donor_roster(donations, donors, policy)
+    people = by(roster, "donor_id")
+    assert (people["D2"]["total_donations"], people["D2"]["first_donation_date"], people["D4"]["is_rare_blood_donor"]) == (0, None, None)
+    assert rows(activity.donor_pool(roster)) == [("O-", 2, 1, 2, 3)]
+    assert rows(board.donor_figures(roster)) == [(4, 2, 2)]
+    assert rows(board.donors_by_group(roster)) == [(None, 1, 0), ("A+", 1, 4), ("O-", 2, 3)]
+
+
+def test_board_filters(inventory, banks, policy):
+    rows_b = stock.bank_stock(inventory, banks, policy)
+    assert rows(board.narrowed(rows_b, policy, state="MH", city="All", blood_group=None, no_such_column="x"), "blood_bank_id", "blood_group") == [
+        ("B1", "A-"), ("B1", "B-"), ("B1", "O-"), ("B2", "A-"), ("B2", "O-")]
+    assert board.narrowed(inventory, policy, watch_only=True).count() == 7
+    assert rows(board.mappable(rows_b), "blood_bank_id", "blood_group") == [("B1", "B-"), ("B3", "O-")]
+    assert rows(board.top_for_group(rows_b, "O-", 2), "blood_bank_id") == [("B2",), ("B3",)]
+    assert rows(board.shortage_alerts(stock.watch_summary(inventory, policy)), "blood_group") == [("A-",), ("B-",), ("O-",)]
+
+
+def test_headline_on_empty_inputs(inventory, banks, donations, donors, policy):
+    build = lambda inv, don: board.headline(
+        stock.watch_summary(inv, policy), stock.bank_stock(inv, banks, policy),
+        activity.donor_pool(activity.donor_roster(don, donors, policy)), activity.distribution(don, policy),
+        activity.daily(don, policy), dt.date(2026, 1, 5))
+    full = build(inventory, donations).collect()[0].asDict()
+    assert full == {"rare_units": 13, "critical_groups": 0, "out_of_stock_groups": 1, "rare_banks": 4, "rare_donors": 2,
+                    "total_donations": 4, "total_units": 7, "donations_on_day": 2}
+    empty = build(inventory.limit(0), donations.limit(0)).collect()[0].asDict()
+    assert {k: v for k, v in empty.items() if k != "rare_donors"} == {k: 0 for k in full if k != "rare_donors"}
+
+
+def test_category_order_is_fixed_and_zero_filled(spark):
+    df = spark.createDataFrame([("b",), ("b",), (None,)], "c string")
+    assert rows(board.counts_in_order(df, "c", ["a", "b"])) == [(0, "a", 0), (1, "b", 2)]
