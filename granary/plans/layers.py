@@ -131,64 +131,73 @@ def run_ledger(spark: SparkSession, lake: Lake, policy: Policy = DEFAULT_POLICY)
 
 
 def run_checks(spark: SparkSession, lake: Lake, policy: Policy = DEFAULT_POLICY) -> DataFrame:
-    """All check rows of the run, stored as JSON and returned."""
-    lineage = ["_ingested_at"]
-    parts = [
-        checks.table_present(spark, "bronze", name, lake.bronze(name),
-                             spark.createDataFrame([], schema).columns, lineage)
-        for name, schema in schemas.RAW_TABLES.items()
-    ]
-    def silver(name: str) -> DataFrame:
-        return files.read_table(spark, lake.silver(name), name)
-
-    def bronze(name: str) -> DataFrame:
-        return files.read_table(spark, lake.bronze(name), name)
-
-    frames = {name: silver(name) for name in schemas.RAW_TABLES}
-    donations, inventory, banks = frames["donations"], frames["blood_inventory"], frames["blood_banks"]
-    parts += [checks.unique(frames[name], [key], key) for name, key in schemas.KEYS.items()]
-    parts += [checks.complete(bronze(name), columns, name) for name, columns in schemas.REQUIRED.items()]
-    parts += [
-        checks.allowed(donations, "blood_group", policy.groups, "donation_group"),
-        checks.allowed(inventory, "blood_group", policy.groups, "inventory_group"),
-        checks.quantities(donations, policy),
-        checks.donor_rules(frames["donors"], policy),
-        checks.foreign_keys(donations, frames["donors"], banks, frames["donation_camps"], inventory),
-        checks.enrichment(donations, silver("enriched_donations"),
-                          ["blood_group", "donation_date", "units_donated", "donation_status", "is_rare_blood"]),
-        checks.inventory_consistency(inventory, banks),
-        checks.boundaries(spark, policy.strict, {
-            0: "OUT_OF_STOCK", 4: "CRITICAL", 5: "LOW", 9: "LOW", 10: "AVAILABLE", 11: "AVAILABLE",
-        }),
-    ]
-    parts += [
-        checks.table_present(spark, "gold", name, lake.gold(name), columns) for name, columns in schemas.PUBLISHED.items()
-    ]
-    shares = files.read_optional(spark, lake.gold("blood_group_distribution"))
-    summary = files.read_optional(spark, lake.gold("rare_blood_summary"))
-    if shares is not None and summary is not None:
-        parts += [
-            checks.published_totals(donations, inventory, shares, summary, policy),
-            checks.distribution_rules(shares, summary, policy),
-        ]
-    shown = files.read_optional(spark, lake.gold("blood_bank_rare_stock"))
-    if shown is not None:
-        parts.append(checks.display_rows(shown, policy))
-    if files.read_optional(spark, lake.bronze("streaming_donations")) is None:
-        parts.append(checks.stated(spark, "streaming", "sink", "SKIPPED", "no stream was ingested"))
-    else:
-        parts.append(checks.stream_output(spark, lake.bronze("streaming_donations"), lake.checkpoint()))
-    state = files.read_optional(spark, lake.gold("gold_inventory_state"))
-    if state is None:
-        parts.append(checks.stated(spark, "ledger", "state", "SKIPPED", "no ledger was processed"))
-    else:
+    """All check rows of the run, stored as JSON and returned.
+
+    Raw-data rules look at bronze, structural rules at silver and gold. A part whose tables are
+    absent is reported as SKIPPED.
+    """
+    parts: list[DataFrame] = []
+
+    def bronze(name: str) -> DataFrame | None:
+        return files.read_optional(spark, lake.bronze(name))
+
+    def silver(name: str) -> DataFrame | None:
+        return files.read_optional(spark, lake.silver(name))
+
+    def gold(name: str) -> DataFrame | None:
+        return files.read_optional(spark, lake.gold(name))
+
+    def given(section: str, needed: list[DataFrame | None], build: Callable[..., list[DataFrame]]) -> None:
+        if any(df is None for df in needed):
+            parts.append(checks.stated(spark, section, "inputs", "SKIPPED", "tables not ready"))
+        else:
+            parts.extend(build(*needed))
+
+    for name, schema in schemas.RAW_TABLES.items():
+        columns = spark.createDataFrame([], schema).columns
+        parts.append(checks.table_present(spark, "bronze", name, lake.bronze(name), columns, ["_ingested_at"]))
+    for name, columns in schemas.REQUIRED.items():
+        given("missing_values", [bronze(name)], lambda df: [checks.complete(df, columns, name)])
+    for name in ("donors", "blood_inventory", "donations"):
+        given("allowed_values", [bronze(name)],
+              lambda df: [checks.allowed(df, "blood_group", policy.groups, f"{name}.blood_group")])
+    given("quantities", [bronze("donations")], lambda df: [checks.quantities(df, policy)])
+    given("donors", [bronze("donors")], lambda df: [checks.donor_rules(df, policy)])
+    given("foreign_keys",
+          [bronze(n) for n in ("donations", "donors", "blood_banks", "donation_camps", "blood_inventory")],
+          lambda *frames: [checks.foreign_keys(*frames)])
+    for name, key in schemas.KEYS.items():
+        given("duplicates", [silver(name)], lambda df: [checks.unique(df, [key], key)])
+    required = ["blood_group", "donation_date", "units_donated", "donation_status", "is_rare_blood"]
+    given("clean_layer", [silver("donations"), silver("enriched_donations")],
+          lambda clean, wide: [checks.enrichment(clean, wide, required)])
+    given("inventory", [silver("blood_inventory"), silver("blood_banks")],
+          lambda lines, banks: [checks.inventory_consistency(lines, banks)])
+    # Labels expected at the bounds of the strict scale.
+    parts.append(checks.boundaries(spark, policy.strict, {
+        0: "OUT_OF_STOCK", 4: "CRITICAL", 5: "LOW", 9: "LOW", 10: "AVAILABLE", 11: "AVAILABLE",
+    }))
+    for name, columns in schemas.PUBLISHED.items():
+        parts.append(checks.table_present(spark, "gold", name, lake.gold(name), columns))
+    given("published_totals",
+          [silver("donations"), silver("blood_inventory"), gold("blood_group_distribution"), gold("rare_blood_summary")],
+          lambda gifts, lines, shares, summary: [
+              checks.published_totals(gifts, lines, shares, summary, policy),
+              checks.distribution_rules(shares, summary, policy),
+          ])
+    given("display", [gold("blood_bank_rare_stock")], lambda df: [checks.display_rows(df, policy)])
+    given("streaming", [bronze("streaming_donations")],
+          lambda _: [checks.stream_output(spark, lake.bronze("streaming_donations"), lake.checkpoint())])
+
+    def ledger_rules(state: DataFrame, history: DataFrame) -> list[DataFrame]:
         movements = files.read_ledger(spark, lake.raw("inventory_transactions"))
-        parts += [
+        return [
             checks.ledger_invariants(movements, policy), checks.ledger_keys_covered(movements, state),
             checks.reconciled(state, movements, policy), checks.state_invariants(state, policy),
-            checks.transfer_legs(movements),
-            checks.transfer_rules(spark.read.parquet(lake.gold("gold_transfer_history"))),
+            checks.transfer_legs(movements), checks.transfer_rules(history),
         ]
+
+    given("ledger", [gold("gold_inventory_state"), gold("gold_transfer_history")], ledger_rules)
     files.write_checks(checks.combined(parts), lake.report())
     return spark.read.schema(checks.SHAPE).json(lake.report())
 
