@@ -2,7 +2,7 @@
 
 Every operator is a plain ``DataFrame -> DataFrame`` (or ``Column``) function that takes a
 :class:`~granary.policy.Policy` for its vocabularies and thresholds. Nothing here creates a
-session, collects data to the driver, or reads the wall clock.
+session or collects data to the driver, and no business rule reads the wall clock.
 """
 
 from granary.policy import DEFAULT_POLICY, Policy, Scale

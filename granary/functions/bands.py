@@ -27,6 +27,12 @@ def label(value: Column, scale: Scale) -> Column:
 
 
 def translate(key: Column, mapping: Mapping) -> Column:
-    """Literal lookup; keys outside the mapping give NULL."""
-    entries = [F.lit(part) for pair in mapping.items() for part in pair]
-    return F.try_element_at(F.create_map(*entries), key)
+    """Lookup in a small mapping; keys outside it give NULL.
+
+    Written as CASE branches rather than a map literal: the branches compile into the stage's code,
+    and comparisons on the result fold into them.
+    """
+    case = F
+    for word, meaning in mapping.items():
+        case = case.when(key == F.lit(word), F.lit(meaning))
+    return case.otherwise(F.lit(None))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.operators.keyed import attach, dedupe, known
+from granary.operators.keyed import attach, known
+from granary.operators.shared_store import settle
 from granary.policy import Policy
 
 
@@ -14,15 +15,18 @@ def judge(events: DataFrame, donors: DataFrame, banks: DataFrame, camps: DataFra
     """Adds ``admitted`` and ``reject_reason`` (the first rule that fails).
 
     An id is a duplicate when it is already stored or when an earlier event with the same id was
-    admitted. ``donors``, ``banks`` and ``camps`` must be unique by their id.
+    admitted. ``donors``, ``banks`` and ``camps`` must be unique by their id. Events are numbered
+    and settled first, so that of several identical events exactly one is admitted, also when a
+    lost task is run again.
     """
-    spread = "donation_id"
-    wide = attach(events, donors, {"donor_id": "donor_id"}, {"blood_group": "_donor_group"}, spread, "_donor")
-    wide = known(wide, "blood_bank_id", banks, "blood_bank_id", "_bank")
+    spread = "_row"
+    numbered = settle(events.withColumn("_row", F.monotonically_increasing_id()))
+    wide = attach(numbered, donors, {"donor_id": "donor_id"}, {"blood_group": "_donor_group"}, spread, "_donor")
+    wide = known(wide, "blood_bank_id", banks, "blood_bank_id", "_bank", spread)
     wide = attach(wide, camps, {"camp_id": "camp_id"}, {}, spread, "_camp")
     # Only the stored ids this batch repeats matter: the store is filtered by the batch, not shuffled whole.
     repeated_ids = stored.select("donation_id").join(events.select("donation_id"), "donation_id", "left_semi")
-    wide = known(wide, "donation_id", repeated_ids, "donation_id", "_stored")
+    wide = known(wide, "donation_id", repeated_ids, "donation_id", "_stored", spread)
 
     # Rules in order, each with its reason.
     rules = [
@@ -37,7 +41,7 @@ def judge(events: DataFrame, donors: DataFrame, banks: DataFrame, camps: DataFra
     ]
     failing = F.coalesce(*[F.when(broken, F.lit(reason)) for broken, reason in rules])
     ruled = wide.withColumn("_failing", failing).withColumn(
-        "_order", F.struct("event_time", F.xxhash64(*events.columns).alias("h"))
+        "_order", F.struct("event_time", F.xxhash64(*events.columns).alias("tie"), "_row")
     )
     passed = F.when(F.col("_failing").isNull() & ~F.col("_stored"), F.col("_order"))
     first = ruled.groupBy("donation_id").agg(F.min(passed).alias("_first"), F.count(F.lit(1)).alias("_n"))
@@ -48,7 +52,3 @@ def judge(events: DataFrame, donors: DataFrame, banks: DataFrame, camps: DataFra
     return placed.select(*events.columns, reason.alias("reject_reason")).withColumn(
         "admitted", F.col("reject_reason").isNull()
     )
-
-
-def unique_dimension(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    return dedupe(df.select(key, *columns), [key])

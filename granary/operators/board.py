@@ -114,8 +114,13 @@ def top_centers(centers: DataFrame, n: int = 10) -> DataFrame:
     return latest_first(stocked, [F.desc("available_units"), F.col("blood_group"), F.col("blood_bank_id")], n)
 
 
+def by_measure(df: DataFrame, measure: str, key: str) -> DataFrame:
+    """A published table re-sorted for display."""
+    return df.orderBy(F.desc(measure), F.col(key))
+
+
 def top_by(df: DataFrame, measure: str, key: str, n: int) -> DataFrame:
-    return latest_first(df, [F.desc(measure), F.col(key)], n)
+    return by_measure(df, measure, key).limit(n)
 
 
 def top_for_group(rows: DataFrame, group: str, n: int = 15) -> DataFrame:
@@ -151,6 +156,11 @@ def live_feed(events: DataFrame, policy: Policy, n: int = 25) -> DataFrame:
     })
 
 
+def first_ingested(df: DataFrame, key: str, n: int = 10) -> DataFrame:
+    """Preview in order of arrival."""
+    return latest_first(df, [F.asc("_ingested_at"), F.col(key)], n)
+
+
 def urgent_alerts(state: DataFrame) -> DataFrame:
     """EMERGENCY and CRITICAL lines, worst first, with coverage as text."""
     coverage = F.coalesce(F.format_string("%.1f", "coverage_days"), F.lit("No demand data"))
@@ -172,6 +182,12 @@ def monthly_labels(monthly: DataFrame) -> DataFrame:
     )
 
 
+def watch_state_totals(state: DataFrame, policy: Policy) -> DataFrame:
+    """Watch-listed stock lines, and how many of them are urgent."""
+    urgent = F.col("priority_level").isin("EMERGENCY", "CRITICAL")
+    return watched(state, policy).agg(F.count(F.lit(1)).alias("watch_lines"), F.count_if(urgent).alias("urgent_watch_lines"))
+
+
 def run_totals(summary: DataFrame, bank_rows: DataFrame) -> DataFrame:
     """Per watch-listed group: units, label and banks that hold it."""
     holding = bank_rows.where(F.col("available_units") > 0).groupBy(F.col("blood_group").alias("_group")).agg(

@@ -91,10 +91,10 @@ def attach(fact: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Mapping
     return joined.select(*[fact[c] for c in kept], *[side[n] for n in take.values()], *extra)
 
 
-def known(fact: DataFrame, column: str, parent: DataFrame, parent_key: str, flag: str) -> DataFrame:
+def known(fact: DataFrame, column: str, parent: DataFrame, parent_key: str, flag: str, spread: str | None = None) -> DataFrame:
     """Flag rows whose ``column`` exists among the parent's keys; NULL keys are not known."""
     ids = parent.select(F.col(parent_key).alias("_id")).where(F.col("_id").isNotNull()).distinct()
-    return attach(fact, ids, {column: "_id"}, {}, found=flag)
+    return attach(fact, ids, {column: "_id"}, {}, spread, flag)
 
 
 def orphan_keys(child: DataFrame, key: str, parent: DataFrame, parent_key: str, allow_null: bool = False) -> DataFrame:
@@ -164,6 +164,16 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counted.select(F.inline(rows))
 
 
+def sizes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows per group."""
+    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: distinct known values per column."""
+    return df.agg(*[F.count_distinct(c).alias(c) for c in columns])
+
+
 def latest_first(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     """Top ``n`` rows; callers end ``order`` with a unique column so ties are settled."""
     return df.orderBy(*order).limit(n)

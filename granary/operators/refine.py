@@ -79,7 +79,7 @@ def inventory(raw: DataFrame, clean_banks: DataFrame, policy: Policy) -> DataFra
         "is_rare_blood": flags.one_of(F.col("blood_group"), policy.watch_list),
         "is_valid_units": flags.present_and(units, units >= 0),
     })
-    return known(flagged, "blood_bank_id", clean_banks, "blood_bank_id", "blood_bank_exists").withColumn(
+    return known(flagged, "blood_bank_id", clean_banks, "blood_bank_id", "blood_bank_exists", "inventory_id").withColumn(
         "overall_data_quality_status",
         flags.verdict(F.col("is_valid_blood_group"), F.col("is_valid_units"), F.col("blood_bank_exists")),
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from granary.functions.bands import label, translate
 from granary.functions.scores import severity, tier_priority
+from granary.functions.text import canonical
 from granary.operators.keyed import attach
 from granary.operators.rank import competition_rank
 from granary.operators.shared_store import settle
@@ -22,6 +23,11 @@ _PLACE = {"blood_bank_name": "blood_bank_name", "city": "city", "state": "state"
 _SITE = {**_PLACE, "latitude": "latitude", "longitude": "longitude", "storage_capacity": "storage_capacity"}
 
 
+def tidy_groups(df: DataFrame, column: str = "blood_group") -> DataFrame:
+    """Light pass over a group column that was standardised elsewhere."""
+    return df.withColumn(column, canonical(F.col(column)))
+
+
 def watched(df: DataFrame, policy: Policy, column: str = "blood_group") -> DataFrame:
     return df.where(F.col(column).isin(*policy.watch_list))
 
@@ -195,13 +201,16 @@ def cities(inventory: DataFrame, banks: DataFrame, policy: Policy) -> DataFrame:
 def watch_list_coverage(inventory: DataFrame, banks: DataFrame, policy: Policy) -> DataFrame:
     """Every watch-listed group, held anywhere or not: units, centers and cities in stock, strict label."""
     lines = located(watched(inventory, policy), banks)
-    stocked = F.col("available_units") > 0
-    held = lines.groupBy(F.col("blood_group").alias("_group")).agg(
-        F.sum("available_units").alias("_units"),
-        F.count_distinct(F.when(stocked, F.col("blood_bank_id"))).alias("_centers"),
-        # A stocked line in an unknown city counts as one more city.
-        (F.count_distinct(F.when(stocked, F.col("city")))
-         + F.max(F.when(stocked & F.col("city").isNull(), 1).otherwise(0))).alias("_cities"),
+    # Folded bank by bank, then city by city, so no distinct count is needed; an unknown city is one city.
+    by_bank = lines.groupBy("blood_group", "city", "blood_bank_id").agg(
+        F.sum("available_units").alias("units"), F.bool_or(F.col("available_units") > 0).alias("stocked"),
+    )
+    by_city = by_bank.groupBy("blood_group", "city").agg(
+        F.sum("units").alias("units"), F.bool_or("stocked").alias("stocked"),
+        F.count_if(F.col("stocked") & F.col("blood_bank_id").isNotNull()).alias("centers"),
+    )
+    held = by_city.groupBy(F.col("blood_group").alias("_group")).agg(
+        F.sum("units").alias("_units"), F.sum("centers").alias("_centers"), F.count_if("stocked").alias("_cities"),
     )
     groups = inventory.sparkSession.createDataFrame([(g,) for g in policy.watch_list], "blood_group string")
     zero = lambda name: F.coalesce(F.col(name), F.lit(0)).cast("bigint")

@@ -319,6 +319,23 @@ def issue_list(s: Star):
     return ledger.issue_list(s.ledger())
 
 
+@query
+def issue_postings(s: Star):
+    """Issue list taken out of the ledger and posted back."""
+    listed = ledger.issue_list(s.ledger()).withColumn("hospital_id", F.concat(F.lit("H"), F.col("blood_bank_id").cast("string")))
+    return ledger.post_issues(listed)
+
+
+@query
+def movement_counts(s: Star):
+    return keyed.sizes(s.ledger(), ["transaction_type"])
+
+
+@query
+def distinct_counts(s: Star):
+    return keyed.distinct_counts(s.ledger(), ledger.KEY)
+
+
 # ---- transfers -------------------------------------------------------------------------------
 
 @query
@@ -418,6 +435,13 @@ def gold_vs_silver(s: Star):
     return checks.published_totals(donations, inventory, shares, stock.watch_summary(inventory, s.policy), s.policy)
 
 
+@query
+def distribution_rules(s: Star):
+    inventory = s.inventory()
+    shares = activity.distribution(s.donations(), s.policy)
+    return checks.distribution_rules(shares, stock.watch_summary(inventory, s.policy), s.policy)
+
+
 def _ledger_checks(s: Star) -> DataFrame:
     movements = s.ledger()
     state = settle(ledger.stock_state(movements, s.policy))
@@ -476,6 +500,17 @@ def state_headline(s: Star):
     return board.state_headline(ledger.stock_state(s.ledger(), s.policy))
 
 
+@query
+def watch_state_totals(s: Star):
+    return board.watch_state_totals(ledger.stock_state(s.ledger(), s.policy), s.policy)
+
+
+@query
+def banks_by_units(s: Star):
+    rows = activity.bank_performance(s.donations(), s.banks(), s.inventory(), s.policy)
+    return board.by_measure(rows, "total_units_received", "blood_bank_id")
+
+
 @query
 def band_counts(s: Star):
     state = ledger.stock_state(s.ledger(), s.policy)

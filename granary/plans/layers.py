@@ -88,7 +88,7 @@ def run_gold(spark: SparkSession, lake: Lake, policy: Policy = DEFAULT_POLICY) -
         return files.read_table(spark, lake.silver(name), name)
 
     inventory, banks, donors, camps = map(silver, ("blood_inventory", "blood_banks", "donors", "donation_camps"))
-    donations = silver("donations")
+    inventory, donations = stock.tidy_groups(inventory), stock.tidy_groups(silver("donations"))
     # Published table names.
     tables: dict[str, Callable[[], DataFrame]] = {
         "gold_inventory_summary": lambda: stock.group_summary(inventory),

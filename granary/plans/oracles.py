@@ -577,6 +577,12 @@ ORACLES: dict[str, str] = {
         last_updated AS last_transaction_at FROM aged"""),
     "issue_list": _sql(f"""SELECT transaction_id AS issue_id, {_KEY}, units, CAST(transaction_timestamp AS DATE) AS issue_date
         FROM ledger WHERE transaction_type = 'ISSUE'"""),
+    "issue_postings": _sql(f"""SELECT 'I-' || transaction_id AS transaction_id, {_KEY}, 'ISSUE' AS transaction_type, units,
+        CAST(CAST(transaction_timestamp AS DATE) AS TIMESTAMP) AS transaction_timestamp, 'POSTED' AS status,
+        transaction_id AS issue_id, 'H' || blood_bank_id AS hospital_id FROM ledger WHERE transaction_type = 'ISSUE'"""),
+    "movement_counts": _sql("SELECT transaction_type, count(*) AS row_count FROM ledger GROUP BY 1"),
+    "distinct_counts": _sql("""SELECT count(DISTINCT blood_bank_id) AS blood_bank_id, count(DISTINCT blood_group) AS blood_group,
+        count(DISTINCT component_type) AS component_type FROM ledger"""),
     # transfers
     "transfers_valid": _sql("SELECT * FROM checked_moves"),
     "transfer_validity_counts": _sql("""SELECT count(*) AS transfers, count(*) FILTER (is_valid) AS valid_transfers,
@@ -652,6 +658,10 @@ ORACLES: dict[str, str] = {
             UNION ALL SELECT 'stock ' || blood_group, t, total_available_units
             FROM (SELECT blood_group, sum(available_units) AS t FROM inventory WHERE blood_group IN {_WATCH} GROUP BY 1)
             FULL JOIN watch_summary USING (blood_group))"""),
+    "distribution_rules": _sql(_counter_rows("distribution", f"""(SELECT
+        (SELECT CASE WHEN sum(percentage_of_total) BETWEEN 99 AND 101 THEN 0 ELSE 1 END FROM shares) AS share_off,
+        (SELECT 4 - count(*) FROM watch_summary WHERE blood_group IN {_WATCH}) AS absent_groups)""",
+        {"share_off": "zero", "absent_groups": "zero"})),
     "ledger_invariants": _sql("SELECT * FROM graded", checks="ledger_checks"),
     "check_rollup": _sql(_ROLLUP.replace("{donors}", _DONOR_RULES), checks="ledger_checks"),
     "event_admission": _sql(_ADMISSION),
@@ -673,6 +683,10 @@ ORACLES: dict[str, str] = {
         count(*) FILTER (priority_level = 'CRITICAL') AS critical_lines,
         count(*) FILTER (expiry_status = 'EXPIRING_SOON') AS expiring_soon_lines,
         count(*) FILTER (expiry_status = 'EXPIRED') AS expired_lines, median(coverage_days) AS median_coverage_days FROM state"""),
+    "watch_state_totals": _sql(f"""SELECT count(*) AS watch_lines,
+        count(*) FILTER (priority_level IN ('EMERGENCY', 'CRITICAL')) AS urgent_watch_lines
+        FROM state WHERE blood_group IN {_WATCH}"""),
+    "banks_by_units": _sql("SELECT * FROM bank_perf"),
     "band_counts": _sql("""SELECT position, priority_level, count(s.shortage_score) AS line_count
         FROM (VALUES (0, 'EMERGENCY'), (1, 'CRITICAL'), (2, 'LOW'), (3, 'MONITOR'), (4, 'HEALTHY')) o(position, priority_level)
         LEFT JOIN state s USING (priority_level) GROUP BY 1, 2"""),

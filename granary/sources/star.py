@@ -115,7 +115,8 @@ class Star:
     def unique_lines(self) -> DataFrame:
         """Copies are removed before the order join: an order with very many copies collapses first."""
         order = ["donation_date", "blood_bank_id", "camp_id", "units_donated", "donation_status"]
-        return dedupe(self.donation_lines(), ["l_orderkey", "l_linenumber"], order)
+        # The key is the table's own row key, so the rule for rows without a key is not needed.
+        return dedupe(self.donation_lines(), ["l_orderkey", "l_linenumber"], order, collapse_null_keys=True)
 
     def donations(self) -> DataFrame:
         return self._with_order(self.unique_lines())

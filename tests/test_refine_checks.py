@@ -143,13 +143,14 @@ def test_admission_reasons(spark, policy):
 def test_first_acceptable_event_of_an_id_wins(spark, policy):
     def event(units, minutes, donation="E"):
         return (donation, "D2", "B1", None, DAY, "A+", units, "Completed", NOW + dt.timedelta(minutes=minutes), "live", "blood_donation")
-    events = spark.createDataFrame([event(0, 0), event(2, 1), event(3, 2), event(0, 3), event(9, 9, "F")], schemas.DONATION_EVENT)
+    events = spark.createDataFrame(
+        [event(0, 0), event(2, 1), event(3, 2), event(0, 3), event(9, 9, "F"), event(9, 9, "F"), event(9, 9, "F")], schemas.DONATION_EVENT)
     donors, banks, camps, _ = dims(spark, policy)
     judged = judge(events, donors, banks, camps, raw_donations(spark), policy)
     assert rows(judged, "donation_id", "units_donated", "event_time", "reject_reason") == [
         ("E", 0, NOW, "Invalid units_donated"), ("E", 0, NOW + dt.timedelta(minutes=3), "Duplicate donation_id"),
         ("E", 2, NOW + dt.timedelta(minutes=1), None), ("E", 3, NOW + dt.timedelta(minutes=2), "Duplicate donation_id"),
-        ("F", 9, NOW + dt.timedelta(minutes=9), None)]
+        ("F", 9, NOW + dt.timedelta(minutes=9), None), *[("F", 9, NOW + dt.timedelta(minutes=9), "Duplicate donation_id")] * 2]
 
 
 def status(df):

@@ -37,6 +37,7 @@ def test_pretty_printed_files_restart_and_new_arrivals(spark, tmp_path):
     assert again.count() == 5 and again.where("donation_id = 'E2'").count() == 2
     report = {r["check_name"]: r["status"] for r in checks.stream_output(spark, str(tmp_path / "sink"), str(tmp_path / "checkpoint")).collect()}
     assert report == {"events": "PASS", "null_ids": "PASS", "null_event_times": "PASS", "duplicate_ids": "FAIL", "checkpoint": "PASS"}
+    assert {r["donation_id"] for r in board.first_ingested(again, "donation_id", 4).collect()} == {"E0", "E1", "E2", "E3"}
     lag = ingest.ingest_lag(again).collect()
     assert all(abs(r["lag_seconds"] - (r["_ingested_at"] - r["event_time"]).total_seconds()) < 1e-3 for r in lag)
 
