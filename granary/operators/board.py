@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from granary.functions import text
 from granary.operators.keyed import latest_first
 from granary.operators.ledger import KEY
+from granary.operators.rank import exact_median
 from granary.operators.stock import watched
 from granary.policy import Policy
 
@@ -77,8 +78,11 @@ def donors_by_group(roster: DataFrame) -> DataFrame:
 
 
 def state_headline(state: DataFrame) -> DataFrame:
-    """Units, spread, urgent and ageing lines, and the exact median of known coverage."""
-    return state.agg(
+    """Units, spread, urgent and ageing lines, and the exact median of known coverage.
+
+    The median reads the state again: pass a stored table.
+    """
+    figures = state.agg(
         F.sum("available_units").alias("total_units"),
         F.count_distinct("blood_bank_id").alias("blood_banks"),
         F.count_distinct("component_type").alias("component_types"),
@@ -86,8 +90,8 @@ def state_headline(state: DataFrame) -> DataFrame:
         F.count_if(F.col("priority_level") == "CRITICAL").alias("critical_lines"),
         F.count_if(F.col("expiry_status") == "EXPIRING_SOON").alias("expiring_soon_lines"),
         F.count_if(F.col("expiry_status") == "EXPIRED").alias("expired_lines"),
-        F.median("coverage_days").alias("median_coverage_days"),
     )
+    return figures.select("*", exact_median(state, "coverage_days").scalar().alias("median_coverage_days"))
 
 
 def counts_in_order(df: DataFrame, column: str, order: Sequence[str]) -> DataFrame:

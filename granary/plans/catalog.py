@@ -404,7 +404,7 @@ def foreign_keys(s: Star):
 
 @query
 def enrichment_check(s: Star):
-    donations = s.donations()
+    donations = settle(s.donations())
     return checks.enrichment(donations, _enriched(s, donations))
 
 
@@ -497,7 +497,7 @@ def donors_by_group(s: Star):
 
 @query
 def state_headline(s: Star):
-    return board.state_headline(ledger.stock_state(s.ledger(), s.policy))
+    return board.state_headline(settle(ledger.stock_state(s.ledger(), s.policy)))
 
 
 @query

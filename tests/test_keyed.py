@@ -1,12 +1,13 @@
 import datetime as dt
 import random
+import statistics
 from collections import Counter
 
 from pyspark.sql import functions as F
 
 from conftest import by, rows
 from granary.operators import keyed
-from granary.operators.rank import competition_rank
+from granary.operators.rank import competition_rank, exact_median
 
 
 def test_dedupe_is_by_preference_and_independent_of_order(spark):
@@ -101,9 +102,16 @@ def test_rank_matches_brute_force(spark):
     for values in ([5, 5, 3, 1, 1, 1, 0], [7], [0, 0, 0], [None, 4, None, 9], [rng.randint(-50, 50) for _ in range(400)],
                    [rng.randint(0, 10**12) for _ in range(300)] + [0] * 150):
         df = spark.createDataFrame(list(enumerate(values)), "id int, v bigint")
-        for buckets in (3, 1024) if len(values) > 100 else (3,):
-            got = by(competition_rank(df, "v", "r", buckets), "id")
+        for ranges in (3, 64) if len(values) > 100 else (3,):
+            got = by(competition_rank(df, "v", "r", ranges), "id")
             assert [got[i]["r"] for i in range(len(values))] == brute_rank(values)
+        known = sorted(v for v in values if v is not None)
+        assert rows(exact_median(df, "v", 5)) == [(statistics.median(known),)]
+
+
+def test_median_of_nothing_is_unknown(spark):
+    df = spark.createDataFrame([(None,)], "v double")
+    assert rows(exact_median(df, "v")) == [(None,)]
 
 
 def test_rank_sorts_no_whole_frame_in_one_task(spark):

@@ -114,3 +114,29 @@ def test_missing_tables_are_reported_or_raised(spark, lake, policy, tmp_path):
     assert lacking["detail"] == "missing columns: a"
     listed = files.read_optional_csv(spark, str(tmp_path / "none.csv"), schemas.TRANSFERS)
     assert listed.count() == 0 and listed.columns[0] == "transfer_id"
+
+
+@pytest.mark.parametrize("status, code", [("FAIL", 1), ("PASS", 0)])
+def test_command_line_prints_sections_and_fails_on_failure(spark, conf, capsys, monkeypatch, status, code):
+    from granary import __main__ as command
+    from granary.tuning import settings
+
+    for key in settings(1, 8):
+        conf(key, spark.conf.get(key))
+    called = []
+
+    def stub(session, lake, policy, with_stream):
+        called.append((lake.root, policy.as_of.isoformat(), with_stream))
+        return checks.overall(session.createDataFrame([("gold", "daily", status, 1, None)], checks.SHAPE))
+
+    monkeypatch.setattr(command, "run_all", stub)
+    assert command.main(["/lake", "--as-of", "2026-08-15", "--input-gb", "0.001", "--no-stream"]) == code
+    assert called == [("/lake", "2026-08-15", False)]
+    assert [line.split()[:2] for line in capsys.readouterr().out.splitlines()] == [["OVERALL", status], ["gold", status]]
+
+
+def test_shuffle_width_follows_the_data():
+    from granary.tuning import GIB, settings
+
+    assert settings(GIB, 8)["spark.sql.shuffle.partitions"] == "16"
+    assert int(settings(100 * 1024 * GIB, 8000)["spark.sql.shuffle.partitions"]) == 204800
