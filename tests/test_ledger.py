@@ -232,3 +232,11 @@ def test_ledger_and_state_invariants(spark, policy):
     got = {r["check_name"]: r["value"] for r in checks.ledger_invariants(bad, policy).collect()}
     assert got == {"movements": 3, "unknown_types": 2, "types_never_used": 5, "non_positive_units": 1, "unknown_components": 1}
     assert checks.ledger_keys_covered(bad, state).collect()[0]["value"] == 1
+
+
+def test_stored_ledger_is_filtered_and_pruned_in_the_scan(spark, tmp_path):
+    movements(spark, (KEY, "ISSUE", 1.0, T), (KEY, "DONATION", 1.0, T)).write.parquet(str(tmp_path / "ledger"))
+    stored = spark.read.parquet(str(tmp_path / "ledger"))
+    plan = ledger.demand(stored)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(transaction_type,ISSUE)" in plan
+    assert "source_donation_id" not in plan and "destination_bank_id" not in plan
