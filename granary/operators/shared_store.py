@@ -1,30 +1,29 @@
-"""Cutting lineage through the cluster's shared checkpoint folder."""
+"""Cutting lineage through a folder that every executor of the cluster sees."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder named by ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``; where that is unset, one inside the warehouse.
 
-    A local session without the setting (tests, a laptop) gets a temporary folder of its own; a
-    cluster without it gets None, because a machine-local folder would not be seen by executors.
+    The rule does not look at the master: the warehouse of a session is storage that driver and
+    executors share, on a laptop as on a cluster.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named is None and spark.sparkContext.master.startswith("local"):
-        named = tempfile.mkdtemp(prefix="granary-")
-    if named is not None and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
     return named
 
 
 def settle(df: DataFrame) -> DataFrame:
     """Compute a frame that several branches of a plan read, once, into reliable storage.
 
-    Survives executor loss. Without a shared folder the frame stays lazy and is recomputed per
-    branch, which is slower but gives the same rows.
+    Survives executor loss: the rows are files in the shared folder, not blocks of an executor.
     """
-    return df.checkpoint() if shared_folder(df.sparkSession) is not None else df
+    shared_folder(df.sparkSession)
+    return df.checkpoint()

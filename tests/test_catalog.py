@@ -48,7 +48,9 @@ def check_plan(df):
 
 
 def test_catalog_and_sql_cover_each_other():
-    assert set(QUERIES) == set(ORACLES) == set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLES) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
