@@ -33,8 +33,8 @@ from granary.llm.shipping import ship
 
 MAGIC = b"IDPLANE1"
 BLOCK = 1 << 16
-REMEMBERED_WORDS = 400_000
-SENT_BYTES = 8 << 20
+REMEMBERED_WORDS = 250_000
+SENT_BYTES = 4 << 20
 
 
 class Planes(NamedTuple):

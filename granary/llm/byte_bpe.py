@@ -21,11 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from granary.llm.batches import fresh, lists_of, slices
+from granary.llm.batches import lists_of, slices
 from granary.llm.shipping import ship
 
 # Words remembered per Python worker; beyond that the memory is emptied and filled anew.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 150_000
 
 # Field numbers and enum values of the published sentencepiece model format.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
@@ -133,23 +133,29 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """Adds ``ids``: array<int> of the whole text, each match of ``pattern`` encoded separately.
 
     A NULL or empty text has no ids. Other columns, row order and repeated rows stay as they are; a
     column already called ``ids`` is replaced. No special tokens: their strings are ordinary text.
     The file at ``path`` must be there on every executor. Memory follows the largest text.
+    With ``decoded`` the ids are decoded again in the same pass, into a binary column of that name.
     """
     ship(df.sparkSession)
-    kept = [c for c in df.columns if c.lower() != ids.lower()]
-    shape = T.StructType([*[f for f in df.schema.fields if f.name in kept], T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
+    new = [ids] if decoded is None else [ids, decoded]
+    kept = [c for c in df.columns if c.lower() not in {n.lower() for n in new}]
+    kinds = [T.StructField(ids, T.ArrayType(T.IntegerType(), False), False), *[T.StructField(n, T.BinaryType()) for n in new[1:]]]
+    shape = T.StructType([*[f for f in df.schema.fields if f.name in kept], *kinds])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for batch in batches:
             for part in slices(batch, text):
-                coded = lists_of(own.encode(part.column(text).to_pylist()), pa.int32())
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], coded], [*kept, ids])
+                coded = own.encode(part.column(text).to_pylist())
+                made = [lists_of(coded, pa.int32())]
+                if decoded is not None:
+                    made.append(pa.array([own.decode(np.frombuffer(row, "<i4")) for row in coded], pa.binary()))
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], *made], [*kept, *new])
 
     return df.mapInArrow(run, shape)
 
@@ -175,8 +181,7 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", decoded: st
 
 def digests(documents: DataFrame, path: str, pattern: str) -> DataFrame:
     """Per document: number of ids, sha-256 of the ids in decimal, sha-256 of the decoded bytes."""
-    text = fresh(documents.select("doc_id"), "text")
-    coded = decode(encode(documents.select("doc_id", F.col("text").alias(text)), path, pattern, text).drop(text), path, pattern)
+    coded = encode(documents.select("doc_id", "text"), path, pattern, decoded="decoded")
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
