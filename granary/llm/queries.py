@@ -6,9 +6,11 @@ from uuid import uuid4
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from granary.llm import bitplane_ids, byte_bpe, poisson_mix
-from granary.operators.shared_store import shared_folder
+from granary.llm import bitplane_ids, byte_bpe, decision_lists, ftrl_toxicity, pairwise_quality, poisson_mix
+from granary.llm.batches import fold_of
+from granary.operators.shared_store import settle, shared_folder
 
 END_ID = 2
 
@@ -26,6 +28,27 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def _graded(scores: DataFrame, cut: float) -> DataFrame:
+    held_out = F.coalesce(fold_of("doc_id", 3) == 1, F.lit(False))
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+
+
+def op4_pairwise_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return _graded(pairwise_quality.score(documents, pairwise_quality.learn(documents, table(spark, folder, "labels"))), 0.5)
+
+
+def op5_ftrl_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return _graded(ftrl_toxicity.score(documents, ftrl_toxicity.learn(documents, table(spark, folder, "labels"))), 0.7)
+
+
+def op7_decision_lists(spark: SparkSession, folder: str) -> DataFrame:
+    stats = settle(decision_lists.statistics(table(spark, folder, "documents").select("doc_id", "text")))
+    rules = decision_lists.learn(stats, table(spark, folder, "labels"))
+    return decision_lists.judge(stats, rules).select("doc_id", *decision_lists.BASE, "base_failed", "kept")
+
+
 def op8_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Equal shares per source, as many documents as there are now."""
     return poisson_mix.replicate(table(spark, folder, "documents"))
@@ -37,5 +60,7 @@ def op10_bitplane_ids(spark: SparkSession, folder: str) -> DataFrame:
     return bitplane_ids.digests(spark, place)
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op8_poisson_mix, op10_bitplane_ids)}
+QUERIES = {f.__name__: f for f in (
+    op2_byte_bpe, op4_pairwise_quality, op5_ftrl_toxicity, op7_decision_lists, op8_poisson_mix, op10_bitplane_ids,
+)}
 ORACLES: dict[str, str] = {}
