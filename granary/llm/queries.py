@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import bitplane_ids, byte_bpe, decision_lists, ftrl_toxicity, pairwise_quality, poisson_mix
+from granary.llm import (
+    bitplane_ids, byte_bpe, decision_lists, ftrl_toxicity, gru_language, pairwise_quality, permutation_index, poisson_mix,
+)
 from granary.llm.batches import fold_of
 from granary.operators.shared_store import settle, shared_folder
 
@@ -24,6 +26,10 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid4().hex}"
 
 
+def op1_permutation_index(spark: SparkSession, folder: str) -> DataFrame:
+    return permutation_index.search(table(spark, folder, "embeddings"), lambda key: key % 20 == 0, nearest=20)
+
+
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -43,6 +49,13 @@ def op5_ftrl_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return _graded(ftrl_toxicity.score(documents, ftrl_toxicity.learn(documents, table(spark, folder, "labels"))), 0.7)
 
 
+def op6_gru_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    held_out = F.coalesce(fold_of("doc_id", 4) == 2, F.lit(False))
+    found = gru_language.identify(documents, gru_language.learn(documents))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op7_decision_lists(spark: SparkSession, folder: str) -> DataFrame:
     stats = settle(decision_lists.statistics(table(spark, folder, "documents").select("doc_id", "text")))
     rules = decision_lists.learn(stats, table(spark, folder, "labels"))
@@ -61,6 +74,6 @@ def op10_bitplane_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_byte_bpe, op4_pairwise_quality, op5_ftrl_toxicity, op7_decision_lists, op8_poisson_mix, op10_bitplane_ids,
+    op1_permutation_index, op2_byte_bpe, op4_pairwise_quality, op5_ftrl_toxicity, op6_gru_language, op7_decision_lists, op8_poisson_mix, op10_bitplane_ids,
 )}
 ORACLES: dict[str, str] = {}
