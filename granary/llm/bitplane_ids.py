@@ -33,7 +33,7 @@ from granary.llm.shipping import ship
 
 MAGIC = b"IDPLANE1"
 BLOCK = 1 << 16
-REMEMBERED_WORDS = 250_000
+REMEMBERED_WORDS = 600_000
 SENT_BYTES = 4 << 20
 
 
@@ -184,11 +184,12 @@ class ShardReader:
 # ---- tokens ----------------------------------------------------------------------------------
 
 class WordEncoder:
-    """Ids of whole texts by a ``tokenizers`` file whose splitter never crosses white space.
+    """Ids of whole texts by a ``tokenizers`` file that lower-cases and never joins across white space
+    or between a letter and a following punctuation mark.
 
-    The library encodes each distinct word once; a text's ids are those of its words in order. That
-    equals encoding the text in one go, because the normaliser and the splitter of such a file work
-    within runs of non-white characters.
+    The library encodes each distinct word once; a text's ids are those of its words in order, which
+    equals encoding the text in one go. Words are kept as lower-cased bytes, and a final mark after an
+    ASCII letter or digit is encoded apart from the word, so fewer words have to be encoded.
     """
 
     def __init__(self, path: str) -> None:
@@ -197,22 +198,36 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-        self.odd = re.compile(r"[\x1c-\x1f]").search  # white space to str.split, but not to the library
-        self.plain = re.compile(r"[^\t\n\x0b\x0c\r ]+").findall
+        self.known: dict[bytes, bytes] = {}
+        # A capital before what may be a combining mark must not be lower-cased before it is composed.
+        self.composed = re.compile("[A-Z][^\x00-\u02ff]").search
+
+    def words(self, text: str | None) -> list[bytes]:
+        raw = (text or "").encode()
+        return (raw.lower() if len(raw) == len(text or "") or not self.composed(text) else raw).split()
+
+    def _ask(self, words: Sequence[bytes]) -> None:
+        for a in range(0, len(words), 5_000):
+            part = words[a:a + 5_000]
+            for word, found in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
+                self.known[word] = np.array(found.ids, "<u4").tobytes()
+
+    def _learn(self, words: set[bytes]) -> None:
+        ends = [w for w in words if len(w) > 1 and w[-1:] in (b".", b",") and w[-2:-1].isalnum()]
+        parts = {w[:-1] for w in ends} | {b".", b","}
+        self._ask(list((words.difference(ends) | parts) - self.known.keys()))
+        for word in ends:
+            self.known[word] = self.known[word[:-1]] + self.known[word[-1:]]
 
     def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
-        cut = [(self.plain(t) if self.odd(t) else t.split()) if t else [] for t in texts]
+        cut = [self.words(t) for t in texts]
         words = set(chain.from_iterable(cut))
         new = words - self.known.keys()
         if len(self.known) + len(new) > REMEMBERED_WORDS:
             self.known.clear()
             new = words
-        asked = list(new)
-        for a in range(0, len(asked), 10_000):
-            part = asked[a:a + 10_000]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
+        if new:
+            self._learn(new)
         return [np.frombuffer(b"".join(map(self.known.__getitem__, row)), "<u4") for row in cut]
 
 
@@ -226,7 +241,7 @@ def word_encoder(path: str) -> WordEncoder:
 def write(documents: DataFrame, folder: str, tokenizer: str, end_id: int, planes: Planes = Planes()) -> DataFrame:
     """Encode whole texts and write them as shards below ``folder``; returns the manifest.
 
-    Documents are sorted by (doc_id, text), so ties and repeated rows have one order; a NULL doc_id
+    Documents are sorted by (doc_id, hash of the text), so ties and repeated rows have one order; a NULL doc_id
     comes first, a NULL text counts as empty. ``end_id`` ends each document, so an empty one has one
     id. Partitions of the sort are the shards, written by the tasks that hold them; a repeated task
     writes the same file again. The manifest (shard, path, documents, ids, first_id) is a Parquet table
@@ -249,7 +264,7 @@ def write(documents: DataFrame, folder: str, tokenizer: str, end_id: int, planes
             n_documents, n_ids = out.close()
             yield pa.RecordBatch.from_pylist([{"shard": shard, "path": path, "documents": n_documents, "ids": n_ids}])
 
-    ordered = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").orderBy("doc_id", "text")
+    ordered = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").orderBy("doc_id", F.xxhash64("text"))
     ordered.mapInArrow(run, "shard long, path string, documents long, ids long").write.mode("overwrite").parquet(f"{base}/manifest")
     return manifest(spark, base)
 
