@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.llm import (
-    bitplane_ids, byte_bpe, decision_lists, ftrl_toxicity, gru_language, pairwise_quality, permutation_index, poisson_mix,
+    bitplane_ids, byte_bpe, decision_lists, ftrl_toxicity, gru_language, hyperminhash, pairwise_quality, permutation_index, poisson_mix,
 )
 from granary.llm.batches import fold_of
 from granary.operators.shared_store import settle, shared_folder
@@ -34,6 +34,10 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op3_hyperminhash(spark: SparkSession, folder: str) -> DataFrame:
+    return hyperminhash.near_duplicates(table(spark, folder, "documents"), hyperminhash.Rule(size=2, percent=80))
+
+
 def _graded(scores: DataFrame, cut: float) -> DataFrame:
     held_out = F.coalesce(fold_of("doc_id", 3) == 1, F.lit(False))
     return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
@@ -74,6 +78,6 @@ def op10_bitplane_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_permutation_index, op2_byte_bpe, op4_pairwise_quality, op5_ftrl_toxicity, op6_gru_language, op7_decision_lists, op8_poisson_mix, op10_bitplane_ids,
+    op1_permutation_index, op2_byte_bpe, op3_hyperminhash, op4_pairwise_quality, op5_ftrl_toxicity, op6_gru_language, op7_decision_lists, op8_poisson_mix, op10_bitplane_ids,
 )}
 ORACLES: dict[str, str] = {}
