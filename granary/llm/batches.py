@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from typing import Iterator, Sequence
+from typing import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -36,6 +36,16 @@ def lists_of(parts: Sequence[bytes], kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 
 
+def keep_rows(df: DataFrame, text: str, decide: Callable[[Sequence[str | None]], Sequence[bool]], limit: int = SLICE_BYTES) -> DataFrame:
+    """Whole rows for which ``decide``, given their texts, says True; columns and repeated rows stay."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text, limit):
+                yield part.filter(pa.array(decide(part.column(text).to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def fold_of(column: str, folds: int) -> Column:
     """crc32 of the column's text, modulo ``folds``; NULL for NULL."""
     return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(folds))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.batches import fold_of, slices
+from granary.llm.batches import fold_of, keep_rows, slices
 from granary.llm.shipping import ship
 
 WINDOW = 64
@@ -232,3 +232,13 @@ def identify(documents: DataFrame, model: Model, key: str = "doc_id", text: str
                 yield pa.RecordBatch.from_arrays([part.column(key), pa.array(names, pa.string()), pa.array(scores, pa.float64())], [key, into, score])
 
     return documents.select(key, text).mapInArrow(run, f"`{key}` {kind}, `{into}` string, `{score}` double")
+
+
+def keep(documents: DataFrame, model: Model, least: float = 0.4, text: str = "text") -> DataFrame:
+    """The rows in a learned language with a probability of ``least`` or more, with all their columns."""
+    ship(documents.sparkSession)
+
+    def decide(texts: Sequence[str | None]) -> list[bool]:
+        return [name != UNDETERMINED and score >= least for name, score in zip(*predict(model, texts))]
+
+    return keep_rows(documents, text, decide, 1 << 19)

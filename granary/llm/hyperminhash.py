@@ -310,3 +310,14 @@ def near_duplicates(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """One whole row of each group of near copies: that of its least doc_id (of rows that share it, the
+    least). Rows without doc_id all stay, as nothing can be named their copy."""
+    found = near_duplicates(documents, rule)
+    least = found.where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct()
+    rest = [c for c in documents.columns if c != "doc_id"]
+    named = documents.join(least, documents["doc_id"].cast("long") == least["_kept"], "left_semi").groupBy("doc_id").agg(
+        F.min(F.struct(*rest)).alias("_row")).select(*["doc_id" if c == "doc_id" else F.col("_row")[c].alias(c) for c in documents.columns])
+    return named.unionByName(documents.where("doc_id is null"))
