@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.llm import (
-    bitplane_ids, byte_bpe, decision_lists, ftrl_toxicity, gru_language, hyperminhash, pairwise_quality, permutation_index, poisson_mix,
+    bitplane_ids, byte_bpe, decision_lists, ftrl_toxicity, gru_language, hyperminhash, license_scan, pairwise_quality, permutation_index,
+    poisson_mix,
 )
 from granary.llm.batches import fold_of
 from granary.operators.shared_store import settle, shared_folder
@@ -71,6 +72,15 @@ def op8_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
     return poisson_mix.replicate(table(spark, folder, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as files of a tree by source and id; every hundredth is its directory's licence file."""
+    number = F.col("doc_id")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), (number / 1000).cast("long"), (number / 100).cast("long"),
+                       F.when(number % 100 == 0, F.lit("LICENSE")).otherwise(number.cast("string")))
+    files = table(spark, folder, "documents").select("doc_id", path.alias("path"), "text")
+    return license_scan.scan(files).withColumn("score", F.round("score", 9))
+
+
 def op10_bitplane_ids(spark: SparkSession, folder: str) -> DataFrame:
     place = scratch(spark, "ids")
     bitplane_ids.write(table(spark, folder, "documents"), place, public_tokenizers.path("word_bpe_49k.json"), END_ID)
@@ -78,6 +88,6 @@ def op10_bitplane_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_permutation_index, op2_byte_bpe, op3_hyperminhash, op4_pairwise_quality, op5_ftrl_toxicity, op6_gru_language, op7_decision_lists, op8_poisson_mix, op10_bitplane_ids,
+    op1_permutation_index, op2_byte_bpe, op3_hyperminhash, op4_pairwise_quality, op5_ftrl_toxicity, op6_gru_language, op7_decision_lists, op8_poisson_mix, op9_license_scan, op10_bitplane_ids,
 )}
 ORACLES: dict[str, str] = {}
