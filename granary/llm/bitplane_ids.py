@@ -17,6 +17,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from functools import lru_cache
 from itertools import chain
 from typing import Iterator, NamedTuple, Sequence
@@ -33,7 +34,7 @@ from granary.llm.shipping import ship
 
 MAGIC = b"IDPLANE1"
 BLOCK = 1 << 16
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 900_000
 SENT_BYTES = 4 << 20
 
 
@@ -185,20 +186,28 @@ class ShardReader:
 
 class WordEncoder:
     """Ids of whole texts by a ``tokenizers`` file that lower-cases and never joins across white space
-    or between a letter and a following punctuation mark.
+    or between a letter and a following punctuation mark, with a BPE model that marks word ends.
 
     The library encodes each distinct word once; a text's ids are those of its words in order, which
-    equals encoding the text in one go. Words are kept as lower-cased bytes, and a final mark after an
-    ASCII letter or digit is encoded apart from the word, so fewer words have to be encoded.
+    equals encoding the text in one go. Words are kept as lower-cased bytes, and closing marks after
+    a letter or digit are encoded apart from the word, so fewer words have to be encoded.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.tokenizer, self.quick = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = self.quick.encode_special_tokens = True
+        # Lower-case ASCII letters are what the normaliser and the splitter leave as they are.
+        self.quick.normalizer, self.quick.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
+        ending = self.tokenizer.model.end_of_word_suffix
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends_word[[i for token, i in self.tokenizer.get_vocab().items() if ending and token.endswith(ending)]] = True
         self.known: dict[bytes, bytes] = {}
+        self.tail = re.compile(rb"(?<=[^!-/:-@\[-`{-~])[!-&(-/:-@\[-`{-~]+$").search  # closing marks but the apostrophe
+        # Latin letters that composing and lower-casing turn into one letter each.
+        self.letter = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+").fullmatch
         # A capital before what may be a combining mark must not be lower-cased before it is composed.
         self.composed = re.compile("[A-Z][^\x00-\u02ff]").search
 
@@ -206,18 +215,44 @@ class WordEncoder:
         raw = (text or "").encode()
         return (raw.lower() if len(raw) == len(text or "") or not self.composed(text) else raw).split()
 
+    def _ask_together(self, words: Sequence[bytes], tokenizer) -> None:
+        """Words of letters only: each is one piece for the splitter, so its ids end at the first token
+        that ends a word, and many words can be encoded as one text."""
+        for a in range(0, len(words), 2_000):
+            part = words[a:a + 2_000]
+            ids = np.array(tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(part):
+                self._ask(part)
+                continue
+            raw, last = ids.tobytes(), 0
+            for word, end in zip(part, (4 * ends).tolist()):
+                self.known[word] = raw[last:end]
+                last = end
+
     def _ask(self, words: Sequence[bytes]) -> None:
         for a in range(0, len(words), 5_000):
             part = words[a:a + 5_000]
             for word, found in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
+                self.known[word] = array("I", found.ids).tobytes()
 
     def _learn(self, words: set[bytes]) -> None:
-        ends = [w for w in words if len(w) > 1 and w[-1:] in (b".", b",") and w[-2:-1].isalnum()]
-        parts = {w[:-1] for w in ends} | {b".", b","}
-        self._ask(list((words.difference(ends) | parts) - self.known.keys()))
-        for word in ends:
-            self.known[word] = self.known[word[:-1]] + self.known[word[-1:]]
+        parts, tails = set(), []
+        for word in words:
+            cut = self.tail(word)
+            if cut and (stem := word[:cut.start()]) and (stem[-1] < 128 or self.letter(stem.decode()[-1])):
+                tails.append((word, stem, cut[0]))
+                parts.update((stem, cut[0]))
+            else:
+                parts.add(word)
+        plain, letters, rest = [], [], []
+        for word in parts - self.known.keys():
+            (plain if word.islower() and word.isalpha() else letters if self.letter(word.decode()) else rest).append(word)
+        self._ask_together(plain, self.quick)
+        self._ask_together(letters, self.tokenizer)
+        self._ask(rest)
+        for word, stem, mark in tails:
+            self.known[word] = self.known[stem] + self.known[mark]
 
     def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
         cut = [self.words(t) for t in texts]
