@@ -240,7 +240,7 @@ class WordEncoder:
         parts, tails = set(), []
         for word in words:
             cut = self.tail(word)
-            if cut and (stem := word[:cut.start()]) and (stem[-1] < 128 or self.letter(stem.decode()[-1])):
+            if cut and (stem := word[:cut.start()]) and (stem[-1:].isalnum() or self.letter(stem.decode()[-1])):
                 tails.append((word, stem, cut[0]))
                 parts.update((stem, cut[0]))
             else:
