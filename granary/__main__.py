@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 
 from granary.plans.layers import Lake, run_all
 from granary.policy import DEFAULT_POLICY
+from granary.sources.files import folder_bytes
 from granary.tuning import GIB, settings
 
 
@@ -18,12 +19,13 @@ def main(arguments: list[str]) -> int:
     parser = argparse.ArgumentParser(prog="granary")
     parser.add_argument("root", help="folder with raw/ and streaming/landing/; the layers are written beside them")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today(), help="the day taken as today")
-    parser.add_argument("--input-gb", type=float, default=1.0, help="size of the raw data, for the shuffle width")
+    parser.add_argument("--input-gb", type=float, help="size of the raw data, for the shuffle width; measured if not given")
     parser.add_argument("--no-stream", action="store_true", help="leave the landing folder alone")
     chosen = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("granary").getOrCreate()
-    for key, value in settings(int(chosen.input_gb * GIB), spark.sparkContext.defaultParallelism).items():
+    size = int(chosen.input_gb * GIB) if chosen.input_gb is not None else folder_bytes(spark, f"{chosen.root.rstrip('/')}/raw")
+    for key, value in settings(size, spark.sparkContext.defaultParallelism).items():
         spark.conf.set(key, value)
     policy = replace(DEFAULT_POLICY, as_of=chosen.as_of)
     overall = run_all(spark, Lake(chosen.root), policy, with_stream=not chosen.no_stream).orderBy("section").collect()

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.operators.keyed import attach, known
-from granary.operators.shared_store import settle
 from granary.policy import Policy
 
 
@@ -15,14 +14,14 @@ def judge(events: DataFrame, donors: DataFrame, banks: DataFrame, camps: DataFra
     """Adds ``admitted`` and ``reject_reason`` (the first rule that fails).
 
     An id is a duplicate when it is already stored or when an earlier event with the same id was
-    admitted. ``donors``, ``banks`` and ``camps`` must be unique by their id. Events are numbered
-    and settled first, so that of several identical events exactly one is admitted, also when a
-    lost task is run again.
+    admitted. ``donors``, ``banks`` and ``camps`` must be unique by their id. Identical events are
+    judged once, with their number, and told apart only in the result: one of them can be admitted.
+    No row is numbered, so a task that runs again decides the same.
     """
-    spread = "_row"
-    numbered = settle(events.withColumn("_row", F.monotonically_increasing_id()))
-    wide = attach(numbered, donors, {"donor_id": "donor_id"}, {"blood_group": "_donor_group"}, spread, "_donor")
-    wide = known(wide, "blood_bank_id", banks, "blood_bank_id", "_bank", spread)
+    spread = "_spread"
+    distinct = events.groupBy(*events.columns).agg(F.count(F.lit(1)).alias("_copies")).withColumn(spread, F.xxhash64(*events.columns))
+    wide = attach(distinct, donors, {"donor_id": "donor_id"}, {"blood_group": "_donor_group"}, spread, "_donor")
+    wide = attach(wide, banks, {"blood_bank_id": "blood_bank_id"}, {}, spread, "_bank")
     wide = attach(wide, camps, {"camp_id": "camp_id"}, {}, spread, "_camp")
     # Only the stored ids this batch repeats matter: the store is filtered by the batch, not shuffled whole.
     repeated_ids = stored.select("donation_id").join(events.select("donation_id"), "donation_id", "left_semi")
@@ -40,15 +39,17 @@ def judge(events: DataFrame, donors: DataFrame, banks: DataFrame, camps: DataFra
         (F.col("donation_date").isNull(), "Missing donation_date"),
     ]
     failing = F.coalesce(*[F.when(broken, F.lit(reason)) for broken, reason in rules])
-    ruled = wide.withColumn("_failing", failing).withColumn(
-        "_order", F.struct("event_time", F.xxhash64(*events.columns).alias("tie"), "_row")
-    )
+    # The earliest event comes first, then the smallest by its other columns: no two distinct events tie.
+    others = [c for c in events.columns if c != "event_time"]
+    ruled = wide.withColumn("_failing", failing).withColumn("_order", F.struct("event_time", *others))
     passed = F.when(F.col("_failing").isNull() & ~F.col("_stored"), F.col("_order"))
     first = ruled.groupBy("donation_id").agg(F.min(passed).alias("_first"), F.count(F.lit(1)).alias("_n"))
     repeated = first.where(F.col("_first").isNotNull() & (F.col("_n") > 1))
     placed = attach(ruled, repeated, {"donation_id": "donation_id"}, {"_first": "_first"}, spread)
     duplicate = F.col("_stored") | F.coalesce(F.col("_order") > F.col("_first"), F.lit(False))
     reason = F.when(duplicate, F.lit("Duplicate donation_id")).otherwise(F.col("_failing"))
-    return placed.select(*events.columns, reason.alias("reject_reason")).withColumn(
+    copies = placed.select(*events.columns, reason.alias("_reason"), F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy"))
+    later = F.col("_reason").isNull() & (F.col("_copy") > 1)
+    return copies.select(*events.columns, F.when(later, "Duplicate donation_id").otherwise(F.col("_reason")).alias("reject_reason")).withColumn(
         "admitted", F.col("reject_reason").isNull()
     )

@@ -14,16 +14,12 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows without a key never match; they are spread over this many slots instead of one task.
-NULL_SLOTS = 256
-
-
 def _any_null(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
 
 
 def _slot_of(columns: Sequence[Column]) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(NULL_SLOTS)).cast("int")
+    return F.xxhash64(*columns)
 
 
 def dedupe(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = (), collapse_null_keys: bool = False) -> DataFrame:
@@ -66,9 +62,9 @@ def attach(fact: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Mapping
     """Left join that keeps every fact row and adds ``take`` (dimension column -> output name).
 
     ``on`` maps fact key to dimension key. Fact rows with a NULL key part can match nothing, so
-    when ``spread`` names a fact column they are dealt over slots by its hash instead of all
-    landing on the one partition that NULL hashes to. Rows with a key take the slot of their key,
-    which the dimension row shares; a constant slot would be folded out of the join key.
+    when ``spread`` names a fact column they take its full hash as a second join key instead of all
+    landing on the one partition that NULL hashes to. Rows with a key take the hash of their key,
+    which the dimension row shares; a constant would be folded out of the join key.
     ``found`` adds a flag telling whether the dimension row existed, independent of NULLs in its
     attributes.
     """
