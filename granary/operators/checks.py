@@ -151,14 +151,19 @@ def donor_rules(donors: DataFrame, policy: Policy) -> DataFrame:
 
 
 def display_rows(bank_rows: DataFrame, policy: Policy) -> DataFrame:
-    """Watch-listed rows in stock carry a bank and a group."""
-    shown = bank_rows.where(F.col("blood_group").isin(*policy.watch_list) & (F.col("available_units") > 0))
-    counters = shown.agg(
-        F.count(F.lit(1)).alias("displayed_rows"), _count(F.col("available_units") <= 0, "not_in_stock"),
+    """The published bank table as it is: how much of it a display shows, and what no row may lack.
+
+    Rows outside the watch list, below zero or without a bank, group or count are faults of the table,
+    whether a display would filter them away or not; rows without stock are only reported.
+    """
+    units, listed = F.col("available_units"), F.coalesce(F.col("blood_group").isin(*policy.watch_list), F.lit(False))
+    counters = bank_rows.agg(
+        _count(listed & (units > 0), "displayed_rows"), _count(units == 0, "not_in_stock"),
+        _count(F.coalesce(units < 0, F.lit(True)), "bad_units"), _count(~listed & F.col("blood_group").isNotNull(), "off_list"),
         _count(F.col("blood_bank_id").isNull(), "null_bank"), _count(F.col("blood_group").isNull(), "null_group"),
     )
     return from_counters("display", counters, {
-        "displayed_rows": "report", "not_in_stock": "zero", "null_bank": "zero", "null_group": "zero",
+        "displayed_rows": "report", "not_in_stock": "report", "bad_units": "zero", "off_list": "zero", "null_bank": "zero", "null_group": "zero",
     })
 
 

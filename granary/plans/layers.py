@@ -63,8 +63,8 @@ def run_silver(spark: SparkSession, lake: Lake, policy: Policy = DEFAULT_POLICY)
     def bronze(name: str) -> DataFrame:
         return files.read_table(spark, lake.bronze(name), name)
 
-    def stored(name: str, df: DataFrame) -> DataFrame:
-        files.write_table(df, lake.silver(name))
+    def stored(name: str, df: DataFrame, *days: str) -> DataFrame:
+        files.write_table(df, lake.silver(name), days)
         return spark.read.parquet(lake.silver(name))
 
     donors = stored("donors", refine.donors(bronze("donors"), policy))
@@ -77,8 +77,8 @@ def run_silver(spark: SparkSession, lake: Lake, policy: Policy = DEFAULT_POLICY)
     parts = refine.combine(
         refine.donations(batch, policy), None if live is None else refine.donations(live, policy, batch=False)
     )
-    donations = stored("donations", refine.with_quality(refine.dedupe_donations(parts), policy))
-    enriched = stored("enriched_donations", refine.enrich(donations, donors, banks, camps, inventory))
+    donations = stored("donations", refine.with_quality(refine.dedupe_donations(parts), policy), "donation_date")
+    enriched = stored("enriched_donations", refine.enrich(donations, donors, banks, camps, inventory), "donation_date")
     return stored("data_quality", refine.layer_metrics(batch, live, donations, enriched))
 
 
@@ -134,7 +134,7 @@ def run_checks(spark: SparkSession, lake: Lake, policy: Policy = DEFAULT_POLICY)
     """All check rows of the run, stored as JSON and returned.
 
     Raw-data rules look at bronze, structural rules at silver and gold. A part whose tables are
-    absent is reported as SKIPPED.
+    absent is reported as SKIPPED; silver tables must be there, and ledger tables when raw movements are.
     """
     parts: list[DataFrame] = []
 
@@ -166,6 +166,9 @@ def run_checks(spark: SparkSession, lake: Lake, policy: Policy = DEFAULT_POLICY)
     given("foreign_keys",
           [bronze(n) for n in ("donations", "donors", "blood_banks", "donation_camps", "blood_inventory")],
           lambda *frames: [checks.foreign_keys(*frames)])
+    for name in (*schemas.KEYS, "enriched_donations"):
+        found = silver(name) is not None
+        parts.append(checks.stated(spark, "silver", name, "PASS" if found else "FAIL", None if found else "table not found"))
     for name, key in schemas.KEYS.items():
         given("duplicates", [silver(name)], lambda df: [checks.unique(df, [key], key)])
     required = ["blood_group", "donation_date", "units_donated", "donation_status", "is_rare_blood"]
@@ -197,7 +200,11 @@ def run_checks(spark: SparkSession, lake: Lake, policy: Policy = DEFAULT_POLICY)
             checks.transfer_legs(movements), checks.transfer_rules(history),
         ]
 
-    given("ledger", [gold("gold_inventory_state"), gold("gold_transfer_history")], ledger_rules)
+    derived = [gold("gold_inventory_state"), gold("gold_transfer_history")]
+    if any(df is None for df in derived) and files.folder_bytes(spark, lake.raw("inventory_transactions")):
+        parts.append(checks.stated(spark, "ledger", "inputs", "FAIL", "raw movements exist, but the ledger run left no tables"))
+    else:
+        given("ledger", derived, ledger_rules)
     files.write_checks(checks.combined(parts), lake.report())
     return spark.read.schema(checks.SHAPE).json(lake.report())
 

@@ -626,10 +626,14 @@ ORACLES: dict[str, str] = {
     "inventory_consistency": _sql(_counter_rows("inventory", f"""(SELECT count(*) FILTER (available_units < 0) AS negative_units,
         count(*) FILTER (NOT blood_bank_id {_IN_BANKS}) AS orphan_banks, sum(available_units) AS total_units FROM inventory)""", {
         "negative_units": "zero", "orphan_banks": "zero", "total_units": "report"})),
-    "display_rows": _sql(_counter_rows("display", """(SELECT count(*) AS displayed_rows, 0 AS not_in_stock,
+    "display_rows": _sql(_counter_rows("display", """(SELECT count(*) FILTER (available_units > 0) AS displayed_rows,
+        count(*) FILTER (available_units = 0) AS not_in_stock,
+        count(*) FILTER (available_units IS NULL OR available_units < 0) AS bad_units,
+        count(*) FILTER (blood_group NOT IN ('O-', 'AB-', 'B-', 'A-')) AS off_list,
         count(*) FILTER (blood_bank_id IS NULL) AS null_bank, count(*) FILTER (blood_group IS NULL) AS null_group
-        FROM watch_stock WHERE available_units > 0)""", {
-        "displayed_rows": "report", "not_in_stock": "zero", "null_bank": "zero", "null_group": "zero"})),
+        FROM watch_stock)""", {
+        "displayed_rows": "report", "not_in_stock": "report", "bad_units": "zero", "off_list": "zero", "null_bank": "zero",
+        "null_group": "zero"})),
     "stock_precheck": _sql(f"""SELECT count(*) AS total_records,
         count(*) FILTER (blood_group NOT IN {_GROUPS}) AS invalid_blood_groups,
         count(*) FILTER (available_units < 0) AS negative_units, count(*) FILTER (blood_bank_id IS NULL) AS null_blood_bank_id,

@@ -103,3 +103,36 @@ def test_live_feed_shows_latest_first(spark, policy):
 
 def test_absent_table_is_none(spark, tmp_path):
     assert read_optional(spark, str(tmp_path / "nothing")) is None
+
+
+def test_of_identical_events_one_is_admitted(spark, policy):
+    from granary.operators.admission import judge
+
+    donors = spark.createDataFrame([("D1", "A-")], "donor_id string, blood_group string")
+    banks = spark.createDataFrame([("B1",)], "blood_bank_id string")
+    camps = spark.createDataFrame([("C1",)], "camp_id string")
+    event = ("E1", "D1", "B1", None, dt.date(2026, 1, 1), "A-", 1, "Completed", dt.datetime(2026, 1, 1, 9), "live", "x")
+    later = (*event[:8], dt.datetime(2026, 1, 1, 10), "live", "x")
+    bad = (*event[:1], "ghost", *event[2:8], dt.datetime(2026, 1, 1, 8), "live", "x")
+    events = spark.createDataFrame([event, event, event, later, bad], schemas.DONATION_EVENT)
+    for parts in (1, 7):
+        judged = judge(events.repartition(parts), donors, banks, camps, spark.createDataFrame([], "donation_id string"), policy)
+        assert rows(judged, "admitted", "reject_reason", "event_time") == sorted(
+            [(True, None, event[8]), *[(False, "Duplicate donation_id", event[8])] * 2, (False, "Duplicate donation_id", later[8]),
+             (False, "Unknown donor_id", bad[8])], key=lambda t: [(v is not None, v) for v in t])
+
+
+def test_replayed_batch_leaves_one_verdict(spark, tmp_path, policy):
+    """The same files, once with the donor known and once without: the second run replaces the first."""
+    banks = spark.createDataFrame([("B1",)], "blood_bank_id string")
+    camps = spark.createDataFrame([("C1",)], "camp_id string")
+    admitted, rejected = str(tmp_path / "admitted"), str(tmp_path / "rejected")
+    drop(tmp_path / "landing", "a", donation_id="E1")
+    drop(tmp_path / "landing", "b", donation_id="E2")
+    for run_, donor in enumerate(("D1", "ghost")):
+        donors = spark.createDataFrame([(donor, "A-")], "donor_id string, blood_group string")
+        ingest.drain(ingest.admit_each_batch(
+            ingest.event_stream(spark, str(tmp_path / "landing")), lambda: (donors, banks, camps), policy, admitted, rejected,
+            str(tmp_path / f"checkpoint{run_}"), f"replay{run_}"))
+        counts = (spark.read.parquet(admitted).count(), spark.read.parquet(rejected).count(), spark.read.parquet(f"{admitted}_ids").count() if not run_ else 0)
+        assert counts == ((2, 0, 2), (0, 2, 0))[run_]
