@@ -51,6 +51,15 @@ def fold_of(column: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(folds))
 
 
+def packed(columns: Sequence[str]) -> Column:
+    """The columns as one struct, so that no working column can clash with them."""
+    return F.struct(*columns) if columns else F.struct(F.lit(None).alias("none"))
+
+
+def unpacked(struct: str, columns: Sequence[str]) -> list[Column]:
+    return [F.col(struct).getField(c).alias(c) for c in columns]
+
+
 def fresh(df: DataFrame, wanted: str) -> str:
     """A name like ``wanted`` that no column of ``df`` has, whatever its case."""
     taken = {c.lower() for c in df.columns}

@@ -16,7 +16,7 @@ from typing import Callable, NamedTuple, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.batches import fold_of
+from granary.llm.batches import fold_of, packed, unpacked
 from granary.operators.shared_store import settle
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -103,8 +103,8 @@ def statistics(documents: DataFrame, text: str = "text") -> DataFrame:
         "n_shouts": chars_in(whole, "!"), "n_bars": chars_in(whole, "|"),
     }
     kept = [c for c in documents.columns if c != text and c.lower() not in {*BASE, *MORE}]
-    wide = documents.select(*kept, of_words.alias("_w"), of_lines.alias("_l"), *[v.alias(n) for n, v in plain.items()])
-    return wide.select(*kept, *[F.col(f"_w.{n}").alias(n) for n in numbers], "_l.n_lines", "_l.n_dup_lines", *plain)
+    wide = documents.select(packed(kept).alias("_kept"), of_words.alias("_w"), of_lines.alias("_l"), *[v.alias(n) for n, v in plain.items()])
+    return wide.select(*unpacked("_kept", kept), *[F.col(f"_w.{n}").alias(n) for n in numbers], "_l.n_lines", "_l.n_dup_lines", *plain)
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -218,6 +218,11 @@ def _prune(rows: DataFrame, rule: tuple[Condition, ...]) -> tuple[tuple[Conditio
     return starts[-k], p, n
 
 
+def _passed(value: Column, cuts: Sequence[float]) -> Column:
+    """How many of the cuts lie below the value."""
+    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: cut < value)) if cuts else F.lit(0)
+
+
 def learn(stats: DataFrame, labels: DataFrame, label: str = "quality", limits: Limits = Limits(), folds: int = 3, held_out: int = 1) -> list[Rule]:
     """Rules from all labelled statistics outside the held-out fold.
 
@@ -233,7 +238,7 @@ def learn(stats: DataFrame, labels: DataFrame, label: str = "quality", limits: L
     cuts = [sorted(set(found[n] or [])) for n in names]
     if not any(cuts):
         return []
-    bins = F.array(*[F.size(F.filter(F.array(*map(F.lit, c)), lambda cut, v=named[n]: cut < v)) if c else F.lit(0) for n, c in zip(names, cuts)])
+    bins = F.array(*[_passed(named[n], c) for n, c in zip(names, cuts)])
     rows = settle(rows.select("*", bins.alias("_bins"), (F.pmod(F.xxhash64("doc_id"), F.lit(3)) > 0).alias("_grows")))
     rules: list[Rule] = []
     while len(rules) < limits.rules:

@@ -13,6 +13,8 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from granary.llm.batches import packed, unpacked
+
 # Usual wordings of notices that point to a licence.
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "Apache-2.0": (
@@ -86,8 +88,8 @@ def match(pieces: DataFrame, templates: Mapping[str, Sequence[str]] = TEMPLATES,
 
 
 def directory(path: Column) -> Column:
-    """All but the last part; the empty string is the root."""
-    return F.when(F.instr(path, "/") > 0, F.regexp_replace(path, "/[^/]*$", "")).otherwise(F.lit(""))
+    """All but the last part; the empty string is the root, NULL for no path."""
+    return F.when(path.isNull(), F.lit(None)).when(F.instr(path, "/") > 0, F.regexp_replace(path, "/[^/]*$", "")).otherwise(F.lit(""))
 
 
 def inherited(directories: DataFrame, licensed: DataFrame) -> DataFrame:
@@ -114,11 +116,12 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", templates: Ma
     new = ("licence", "score", "via", "licence_from")
     kept = [c for c in files.columns if c != text and c.lower() not in new]
     # Rows are told apart by content, which is the same on every attempt of a task.
-    marked = files.withColumn("_row", F.sha2(F.concat_ws("\x01", F.coalesce(F.col(path), F.lit("\x02")), F.coalesce(F.col(text), F.lit("\x02"))), 256))
-    pieces = sentences(marked, text)
+    row = F.sha2(F.concat_ws("\x01", F.coalesce(F.col(path), F.lit("\x02")), F.coalesce(F.col(text), F.lit("\x02"))), 256)
+    marked = files.select(packed(kept).alias("_kept"), F.col(path).alias("_path"), F.col(text).alias("_text"), row.alias("_row"))
+    pieces = sentences(marked, "_text")
     found = match(pieces, templates, least)
-    stated = pieces.join(found, "_piece").groupBy("_row").agg(F.max(F.struct("score", "licence")).alias("_own")).withColumnRenamed("_row", "_stated")
-    wide = marked.select(*kept, "_row", directory(F.col(path)).alias("_in"), F.coalesce(F.substring_index(path, "/", -1).rlike(LICENCE_FILE), F.lit(False)).alias("_file"))
+    stated = pieces.distinct().join(found, "_piece").groupBy("_row").agg(F.max(F.struct("score", "licence")).alias("_own")).withColumnRenamed("_row", "_stated")
+    wide = marked.select("_kept", "_row", directory(F.col("_path")).alias("_in"), F.coalesce(F.substring_index("_path", "/", -1).rlike(LICENCE_FILE), F.lit(False)).alias("_file"))
     own = wide.join(stated, wide["_row"] == stated["_stated"], "left")
     licensed = own.where("_file and _own is not null and _in is not null").groupBy(F.col("_in").alias("_licensed_dir")).agg(F.max("_own").alias("_best")).select(
         "_licensed_dir", F.col("_best.licence").alias("_licence"), F.col("_best.score").alias("_score"))
@@ -126,6 +129,6 @@ def scan(files: DataFrame, path: str = "path", text: str = "text", templates: Ma
     joined = own.join(near, own["_in"] == near["_dir"], "left")
     has = F.col("_own").isNotNull()
     return joined.select(
-        *kept, F.coalesce("_own.licence", "_licence").alias("licence"), F.coalesce("_own.score", "_score").alias("score"),
+        *unpacked("_kept", kept), F.coalesce("_own.licence", "_licence").alias("licence"), F.coalesce("_own.score", "_score").alias("score"),
         F.when(has & F.col("_file"), "file").when(has, "header").when(F.col("_licence").isNotNull(), "inherited").alias("via"),
         F.when(has, F.col("_in")).otherwise(F.col("_from")).alias("licence_from"))

@@ -13,7 +13,7 @@ from typing import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.batches import fresh
+from granary.llm.batches import fresh, packed, unpacked
 
 # The largest mean inverted in one piece; a larger rate is the sum of equal independent pieces.
 PIECE = 16.0
@@ -80,15 +80,16 @@ def replicate(documents: DataFrame, weights: Mapping[str | None, float] | None =
     copy = fresh(documents, copy)
     kept = documents.columns
     table = with_tables(rates(documents, weights, total, source, power)).select("_source", "_pieces", "_table")
-    joined = documents.join(table, documents[source].eqNullSafe(table["_source"]), "left")
+    whole = documents.select(packed(kept).alias("_kept"), F.col(source).alias("_own"))
+    joined = whole.join(table, F.col("_own").eqNullSafe(F.col("_source")), "left")
+    number, text = F.col("_kept.doc_id"), F.col("_kept.text")
     drawn = F.aggregate(
         F.sequence(F.lit(1), F.col("_pieces")), F.lit(0),
-        lambda total_, piece: total_ + inverse(uniform(F.lit(seed), documents["doc_id"], F.md5(F.coalesce(documents["text"], F.lit("null"))), piece), F.col("_table")),
+        lambda total_, piece: total_ + inverse(uniform(F.lit(seed), number, F.md5(F.coalesce(text, F.lit("null"))), piece), F.col("_table")),
     )
-    copies = joined.withColumn("_copies", drawn).where("_copies > 0")
-    spread = copies.select(*[documents[c] for c in kept], F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias(copy))
-    if not shuffle:
-        return spread
-    place = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"), F.col(copy))
-    width = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return spread.withColumn("_place", place).repartition(width, "_place").sortWithinPartitions(F.xxhash64("_place"), copy).drop("_place")
+    spread = joined.select("_kept", drawn.alias("_copies")).where("_copies > 0").select("_kept", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy"))
+    if shuffle:
+        width = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        place = F.xxhash64(F.lit(seed), number, text, F.col("_copy"))
+        spread = spread.withColumn("_place", place).repartition(width, "_place").sortWithinPartitions(F.xxhash64("_place"), "_copy")
+    return spread.select(*unpacked("_kept", kept), F.col("_copy").alias(copy))

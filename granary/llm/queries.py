@@ -13,6 +13,7 @@ from granary.llm import (
     poisson_mix,
 )
 from granary.llm.batches import fold_of
+from granary.llm.oracles import ORACLES as ORACLES
 from granary.operators.shared_store import settle, shared_folder
 
 END_ID = 2
@@ -90,4 +91,3 @@ def op10_bitplane_ids(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_permutation_index, op2_byte_bpe, op3_hyperminhash, op4_pairwise_quality, op5_ftrl_toxicity, op6_gru_language, op7_decision_lists, op8_poisson_mix, op9_license_scan, op10_bitplane_ids,
 )}
-ORACLES: dict[str, str] = {}
