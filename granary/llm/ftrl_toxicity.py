@@ -18,7 +18,7 @@ from granary.llm.learning import labelled_features
 from granary.llm.shipping import ship
 from granary.llm.wordhash import LETTERS, chain, word_hashes
 
-SAMPLE = 12_000
+SAMPLE = 8_000
 BITS = 30
 RAREST = 3
 
