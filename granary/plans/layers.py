@@ -79,7 +79,7 @@ def run_silver(spark: SparkSession, lake: Lake, policy: Policy = DEFAULT_POLICY)
     )
     donations = stored("donations", refine.with_quality(refine.dedupe_donations(parts), policy), "donation_date")
     enriched = stored("enriched_donations", refine.enrich(donations, donors, banks, camps, inventory), "donation_date")
-    return stored("data_quality", refine.layer_metrics(batch, live, donations, enriched))
+    return stored("data_quality", refine.layer_metrics(batch, live, enriched))
 
 
 def run_gold(spark: SparkSession, lake: Lake, policy: Policy = DEFAULT_POLICY) -> list[str]:

@@ -20,7 +20,7 @@ def _half_up(expression: str, digits: int) -> str:
 
 
 _SEGMENT = {"AUTOMOBILE": "O-", "BUILDING": "A+", "FURNITURE": "B-", "HOUSEHOLD": "O+", "MACHINERY": "AB-"}
-_PRIORITY = {"1-URGENT": "O-", "2-HIGH": "AB-", "3-MEDIUM": "B-", "4-NOT SPECIFIED": "A+", "5-LOW": "O+"}
+_PRIORITY = {"1-URGENT": "O-", "2-HIGH": "AB-", "3-MEDIUM": "B-", "4-NOT SPECIFIED": "A-", "5-LOW": "O+"}
 _EVENT = {"signup": "O-", "click": "AB-", "error": "B-", "purchase": "A+", "view": "O+"}
 _STATUS = {"N": "Completed", "A": "Cancelled", "R": "Rejected"}
 _COMPONENT = {"N": "RBC", "A": "Plasma", "R": "Platelets"}
@@ -64,6 +64,10 @@ def _record(u: str) -> str:
     return f"CASE WHEN {u} <= 0 THEN 'CRITICAL' WHEN {u} <= 5 THEN 'LOW' WHEN {u} <= 20 THEN 'NORMAL' ELSE 'GOOD' END"
 
 
+def _astray(key: str, by: str, step: int) -> str:
+    return f"CASE {by} % {step} WHEN 7 THEN {key} + 1000000000 WHEN 8 THEN NULL ELSE {key} END"
+
+
 # Shared building blocks; a query pulls in the ones it names, with everything they name in turn.
 _BLOCKS: dict[str, str] = {
     "donors": f"""
@@ -84,7 +88,7 @@ _BLOCKS: dict[str, str] = {
         SELECT p_partkey AS camp_id, p_name AS camp_name, p_brand AS organizer, p_type AS city,
                DATE '1995-01-01' + p_size AS camp_date FROM part""",
     "lines": f"""
-        SELECT l_orderkey, l_linenumber, l_suppkey AS blood_bank_id,
+        SELECT l_orderkey, l_linenumber, {_astray('l_suppkey', 'l_partkey', 41)} AS blood_bank_id,
                CASE WHEN l_partkey % 3 <> 0 THEN l_partkey END AS camp_id, CAST(l_shipdate AS DATE) AS donation_date,
                CAST(l_quantity AS INTEGER) AS units_donated, {_choose('l_returnflag', _STATUS)} AS donation_status
         FROM lineitem""",
@@ -94,20 +98,23 @@ _BLOCKS: dict[str, str] = {
                 ORDER BY donation_date, blood_bank_id, camp_id NULLS FIRST, units_donated, donation_status) AS rn
             FROM lines) WHERE rn = 1""",
     "raw_donations": f"""
-        SELECT l_orderkey * 8 + l_linenumber AS donation_id, o_custkey AS donor_id, blood_bank_id, camp_id, donation_date,
+        SELECT l_orderkey * 8 + l_linenumber AS donation_id, {_astray('o_custkey', 'o_orderkey', 50)} AS donor_id, blood_bank_id, camp_id, donation_date,
                {_choose('o_orderpriority', _PRIORITY)} AS blood_group, units_donated, donation_status
         FROM lines JOIN orders ON l_orderkey = o_orderkey""",
     "donations": f"""
-        SELECT l_orderkey * 8 + l_linenumber AS donation_id, o_custkey AS donor_id, blood_bank_id, camp_id, donation_date,
+        SELECT l_orderkey * 8 + l_linenumber AS donation_id, {_astray('o_custkey', 'o_orderkey', 50)} AS donor_id, blood_bank_id, camp_id, donation_date,
                {_choose('o_orderpriority', _PRIORITY)} AS blood_group, units_donated, donation_status
         FROM unique_lines JOIN orders ON l_orderkey = o_orderkey""",
     "completed": "SELECT * FROM donations WHERE donation_status = 'Completed'",
     "inventory": f"""
         SELECT *, blood_bank_id || '-' || blood_group AS inventory_id, {_record('available_units')} AS inventory_status
-        FROM (SELECT l_suppkey AS blood_bank_id, {_choose('o_orderpriority', _PRIORITY)} AS blood_group,
-                     CAST(CAST(sum(l_quantity) AS BIGINT) % 17 AS INTEGER) AS available_units,
+        FROM (SELECT CASE l_suppkey WHEN 2 THEN 1000000002 ELSE l_suppkey END AS blood_bank_id, blood_group,
+                     CAST(CASE WHEN blood_group NOT IN ('AB-', 'B-', 'A-') THEN CAST(sum(l_quantity) AS BIGINT) % 17
+                               WHEN l_suppkey = 1 THEN {_choose('blood_group', {"AB-": 4, "B-": 8, "A-": 0})} ELSE 0 END AS INTEGER)
+                         AS available_units,
                      max(l_shipdate) AS last_updated
-              FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)""",
+              FROM (SELECT *, {_choose('o_orderpriority', _PRIORITY)} AS blood_group FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+              GROUP BY l_suppkey, blood_group)""",
     "watch_stock": f"""
         SELECT i.*, b.blood_bank_name, b.city, b.state, b.latitude, b.longitude, b.storage_capacity
         FROM inventory i LEFT JOIN banks b USING (blood_bank_id) WHERE i.blood_group IN {_WATCH}""",
@@ -167,13 +174,13 @@ _BLOCKS: dict[str, str] = {
                {_half_up('u / (SELECT sum(units_donated) FROM completed) * 100', 2)} AS percentage_of_total
         FROM (SELECT blood_group, count(*) AS n, CAST(sum(units_donated) AS BIGINT) AS u FROM completed GROUP BY 1)""",
     "live": f"""
-        SELECT event_id AS donation_id, user_id AS donor_id,
+        SELECT event_id - CASE WHEN event_id % 3 = 1 THEN 1 ELSE 0 END AS donation_id, {_astray('user_id', 'event_id', 90)} AS donor_id,
                TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS blood_bank_id,
                CASE WHEN event_type <> 'view' THEN CAST(floor(value * 10) AS BIGINT) END AS camp_id,
-               CASE WHEN value > 0.5 THEN CAST(ts AS DATE) END AS donation_date,
+               CASE WHEN value > 0.5 AND event_id % 4 <> 2 THEN CAST(ts AS DATE) END AS donation_date,
                {_choose('event_type', _EVENT)} AS blood_group, CAST(floor(value / 20) AS INTEGER) AS units_donated,
                CASE WHEN value < 200 THEN 'Completed' ELSE 'Deferred' END AS donation_status,
-               CASE WHEN value > 0.25 THEN ts END AS event_time, 'live' AS source, 'blood_donation' AS event_type
+               CASE WHEN value > 0.25 AND event_id % 7 <> 3 THEN ts END AS event_time, 'live' AS source, 'blood_donation' AS event_type
         FROM events""",
     "mixed": """
         SELECT donation_id, donor_id, blood_bank_id, camp_id, donation_date, blood_group, units_donated, donation_status,
@@ -197,11 +204,13 @@ _BLOCKS: dict[str, str] = {
                     WHEN upper(trim(raw_status)) IN ('CANCELLED', 'CANCELED') THEN 'Cancelled'
                     WHEN upper(trim(raw_status)) = 'PENDING' THEN 'Pending'
                     WHEN upper(trim(raw_status)) = 'REJECTED' THEN 'Rejected'
-                    WHEN upper(trim(raw_status)) = 'ON HOLD' THEN 'On Hold' END AS donation_status
+                    WHEN upper(trim(raw_status)) = 'ON HOLD' THEN 'On Hold' END AS donation_status,
+               coalesce(nullif(trim(raw_note), ''), 'Unknown') AS note
         FROM (SELECT l_orderkey * 8 + l_linenumber AS donation_id,
                      ' ' || lower(l_returnflag) || {_choose('l_linenumber', _SPELLING)} AS raw_code,
                      CASE WHEN l_linestatus = 'O' THEN lower({_choose('l_returnflag', _STATUS)})
-                          WHEN l_tax > 0.01 THEN '  SUCCESS ' ELSE 'on HOLD' END AS raw_status
+                          WHEN l_tax > 0.01 THEN '  SUCCESS ' ELSE 'on HOLD' END AS raw_status,
+                     CASE WHEN l_discount > 0.05 THEN ' line ' || l_linenumber || ' ' WHEN l_discount > 0.01 THEN '  ' END AS raw_note
               FROM lineitem)""",
     "ledger": f"""
         SELECT l_orderkey * 8 + l_linenumber AS transaction_id, l_suppkey AS blood_bank_id,
@@ -436,17 +445,22 @@ _FK = """(SELECT (SELECT count(*) FROM live WHERE donor_id IS NULL OR donor_id N
     (SELECT count(*) FROM live WHERE camp_id NOT IN (SELECT camp_id FROM camps)) AS camp,
     (SELECT count(*) FROM inventory WHERE blood_bank_id NOT IN (SELECT blood_bank_id FROM banks)) AS inventory_bank)"""
 _ADMISSION = f"""SELECT donation_id, reason IS NULL AS admitted, reason AS reject_reason FROM (
-    SELECT e.donation_id, CASE
-        WHEN e.donation_id IN (SELECT l_orderkey * 8 + l_linenumber FROM lineitem) THEN 'Duplicate donation_id'
-        WHEN d.donor_id IS NULL THEN 'Unknown donor_id' WHEN b.blood_bank_id IS NULL THEN 'Unknown blood_bank_id'
+    SELECT donation_id, CASE WHEN stored OR place > min(CASE WHEN fault IS NULL THEN place END) OVER (PARTITION BY donation_id)
+        THEN 'Duplicate donation_id' ELSE fault END AS reason
+    FROM (SELECT e.donation_id, e.donation_id IN (SELECT l_orderkey * 8 + l_linenumber FROM lineitem) AS stored,
+        row_number() OVER (PARTITION BY e.donation_id ORDER BY e.event_time NULLS FIRST, e.donor_id NULLS FIRST,
+            e.blood_bank_id NULLS FIRST, e.camp_id NULLS FIRST, e.donation_date NULLS FIRST, e.blood_group NULLS FIRST,
+            e.units_donated NULLS FIRST, e.donation_status NULLS FIRST) AS place,
+        CASE WHEN d.donor_id IS NULL THEN 'Unknown donor_id' WHEN b.blood_bank_id IS NULL THEN 'Unknown blood_bank_id'
         WHEN e.camp_id IS NOT NULL AND c.camp_id IS NULL THEN 'Unknown camp_id'
         WHEN e.blood_group IS DISTINCT FROM d.blood_group THEN 'blood_group mismatch'
         WHEN NOT coalesce(e.units_donated > 0, false) THEN 'Invalid units_donated'
         WHEN NOT coalesce(e.donation_status IN {_STATUSES}, false) THEN 'Invalid donation_status'
         WHEN e.event_time IS NULL THEN 'Missing event_time' WHEN e.donation_date IS NULL THEN 'Missing donation_date'
-    END AS reason
+    END AS fault
     FROM live e LEFT JOIN donors d ON e.donor_id = d.donor_id LEFT JOIN banks b ON e.blood_bank_id = b.blood_bank_id
-    LEFT JOIN camps c ON e.camp_id = c.camp_id)"""
+    LEFT JOIN camps c ON e.camp_id = c.camp_id))"""
+_CLOCKED = "(SELECT *, event_time + to_seconds(donation_id % 13) AS _ingested_at FROM live)"
 _ROLLUP = """SELECT coalesce(section, 'OVERALL') AS section, CASE WHEN count(*) FILTER (status = 'FAIL') > 0 THEN 'FAIL'
         WHEN count(*) FILTER (status <> 'SKIPPED') = 0 THEN 'SKIPPED' ELSE 'PASS' END AS status,
         count(*) AS checks, count(*) FILTER (status = 'FAIL') AS failures,
@@ -488,7 +502,7 @@ ORACLES: dict[str, str] = {
         FROM (VALUES ('O-'), ('AB-'), ('B-'), ('A-')) g(blood_group) LEFT JOIN (
             SELECT blood_group, sum(available_units) AS u,
                    count(DISTINCT CASE WHEN available_units > 0 THEN blood_bank_id END) AS b,
-                   count(DISTINCT CASE WHEN available_units > 0 THEN city END) AS c
+                   count(DISTINCT CASE WHEN available_units > 0 THEN coalesce(city, '?') END) AS c
             FROM watch_stock GROUP BY 1) USING (blood_group)"""),
     "record_status_counts": _sql("""SELECT blood_group, CAST(sum(available_units) AS BIGINT) AS total_units,
         count(DISTINCT CASE WHEN available_units > 0 THEN blood_bank_id END) AS centers_with_stock,
@@ -520,9 +534,19 @@ ORACLES: dict[str, str] = {
         CAST(sum(total_donations) AS BIGINT) AS total_donations, CAST(sum(total_units_donated) AS BIGINT) AS total_units_donated
         FROM roster WHERE is_rare_blood_donor GROUP BY 1"""),
     # cleaning and enrichment
-    "standardise_codes": _sql(f"""SELECT donation_id, blood_group, donation_status, 'Unknown' AS note,
+    "standardise_codes": _sql(f"""SELECT donation_id, blood_group, donation_status, note,
         blood_group IN {_GROUPS} AS is_valid_blood_group, blood_group IN {_WATCH} AS is_rare_blood,
         donation_status IN {_STATUSES} AS is_valid_donation_status FROM codes"""),
+    "inventory_quality": _sql(f"""SELECT blood_bank_id, blood_group, available_units, inventory_id, inventory_status,
+        available_units % 3 AS reserved_units, blood_group IN {_GROUPS} AS is_valid_blood_group, blood_group IN {_WATCH} AS is_rare_blood,
+        available_units IS NOT NULL AND available_units >= 0 AS is_valid_units, blood_bank_id {_IN_BANKS} AS blood_bank_exists,
+        CASE WHEN blood_group IN {_GROUPS} AND available_units >= 0 AND blood_bank_id {_IN_BANKS} THEN 'VALID' ELSE 'REVIEW' END
+            AS overall_data_quality_status FROM inventory"""),
+    "camp_quality": _sql("""SELECT camp_id, camp_name, coalesce(nullif(trim(organizer), ''), 'Unknown') AS organizer,
+        coalesce(nullif(trim(city), ''), 'Unknown') AS city, camp_date,
+        CASE WHEN camp_id IS NOT NULL AND camp_date IS NOT NULL THEN 'VALID' ELSE 'REVIEW' END AS overall_data_quality_status FROM camps"""),
+    "clean_donations": _sql("""SELECT *, CAST(NULL AS TIMESTAMP) AS event_time, 'historical_batch' AS source, 'blood_donation' AS event_type,
+        CAST(NULL AS TIMESTAMP) AS _ingested_at, CAST(NULL AS DATE) AS _ingestion_date, CAST(NULL AS VARCHAR) AS _source_file FROM donations"""),
     "quality_flags": _sql("SELECT * FROM flagged", facts="donations"),
     "donor_quality": _sql(f"""SELECT * REPLACE (coalesce(gender, 'Unknown') AS gender),
         blood_group IN {_GROUPS} AS is_valid_blood_group, age BETWEEN 18 AND 65 AS is_valid_age,
@@ -558,7 +582,13 @@ ORACLES: dict[str, str] = {
         average_weekly_demand, average_monthly_demand, coverage_days FROM covered"""),
     "trend": _sql("SELECT * FROM trend"),
     "stock_state": _sql(f"SELECT {_STATE} FROM state"),
-    "reconcile": _sql("SELECT * FROM reconciled"),
+    "reconcile": _sql("""SELECT blood_bank_id, blood_group, component_type, available_units, recomputed_units,
+        CASE WHEN s.k IS NULL THEN 'NOT_PUBLISHED' WHEN b.k IS NULL THEN 'NOT_IN_LEDGER' WHEN available_units = recomputed_units THEN 'MATCH'
+             ELSE 'MISMATCH' END AS reconciliation_status
+        FROM (SELECT CASE blood_bank_id WHEN 2 THEN 1000000002 ELSE blood_bank_id END AS blood_bank_id, blood_group, component_type,
+                     greatest(available_units, 0) AS available_units, 1 AS k FROM balances) s
+        FULL JOIN (SELECT blood_bank_id, blood_group, component_type, available_units AS recomputed_units, 1 AS k FROM balances) b
+        USING (blood_bank_id, blood_group, component_type)"""),
     "ledger_keys_except": _sql(f"SELECT {_KEY} FROM ledger EXCEPT SELECT {_KEY} FROM balances WHERE available_units > 0"),
     "running_balance": _sql(f"""SELECT *, running_balance < 0 AS below_zero FROM (
         SELECT {_KEY}, transaction_timestamp, transaction_id, transaction_type, units, sum(delta) OVER (
@@ -614,6 +644,20 @@ ORACLES: dict[str, str] = {
         for c in ["donation_id", "donor_id", "blood_bank_id", "camp_id", "donation_date", "event_time"])),
     "allowed_values": _sql(f"""SELECT blood_group, count(*) AS row_count FROM codes
         WHERE blood_group IS NULL OR blood_group NOT IN {_GROUPS} GROUP BY 1"""),
+    "completeness": _sql(" UNION ALL ".join(
+        f"SELECT 'missing_values' AS section, 'events.{c}' AS check_name, CASE WHEN count(*) FILTER ({c} IS NULL) = 0 THEN 'PASS' ELSE 'FAIL' END"
+        f" AS status, count(*) FILTER ({c} IS NULL) AS value, CAST(NULL AS VARCHAR) AS detail FROM live"
+        for c in ["donation_id", "donor_id", "blood_bank_id", "donation_date"])
+        + " UNION ALL SELECT 'missing_values', 'events.shoe_size', 'FAIL', NULL, 'column not found'"),
+    "allowed_sample": _sql(f"""SELECT 'allowed_values' AS section, 'codes.blood_group' AS check_name,
+        CASE WHEN sum(n) > 0 THEN 'FAIL' ELSE 'PASS' END AS status, CAST(coalesce(sum(n), 0) AS BIGINT) AS value,
+        string_agg(v, ', ' ORDER BY v) FILTER (place <= 10) AS detail
+        FROM (SELECT coalesce(blood_group, 'NULL') AS v, count(*) AS n, row_number() OVER (ORDER BY coalesce(blood_group, 'NULL')) AS place
+              FROM codes WHERE blood_group IS NULL OR blood_group NOT IN {_GROUPS} GROUP BY 1)"""),
+    "first_ingested": _sql(f"""SELECT donation_id, _ingested_at FROM {_CLOCKED} ORDER BY _ingested_at NULLS FIRST, donation_id LIMIT 10"""),
+    "ingest_lag": _sql(f"""SELECT donation_id, event_time, _ingested_at, CAST(date_diff('second', event_time, _ingested_at) AS DOUBLE) AS lag_seconds
+        FROM {_CLOCKED}"""),
+    "stream_admission": _sql(_ADMISSION.replace("e.donation_id IN (SELECT l_orderkey * 8 + l_linenumber FROM lineitem)", "false")),
     "quantity_rules": _sql(_counter_rows("quantities", _GIVEN, {
         "null_units": "zero", "zero_units": "zero", "negative_units": "zero", "unusually_large_units": "report"})),
     "donor_rules": _sql(_DONOR_RULES),

@@ -10,6 +10,10 @@
 | donation events | events |
 
 No frame is broadcast by hint: customer, supplier and part grow with the data.
+
+The star tables are free of faults, so some are derived on purpose, by key, in every size: donors and
+banks that are unknown or NULL, a bank that stock knows and the bank table does not, groups with little
+or no stock, events that share an id or lack a time or a date.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from granary.policy import DEFAULT_POLICY, Policy
 
 # Star codes and the domain words they stand for.
 SEGMENT_GROUP = {"AUTOMOBILE": "O-", "BUILDING": "A+", "FURNITURE": "B-", "HOUSEHOLD": "O+", "MACHINERY": "AB-"}
-PRIORITY_GROUP = {"1-URGENT": "O-", "2-HIGH": "AB-", "3-MEDIUM": "B-", "4-NOT SPECIFIED": "A+", "5-LOW": "O+"}
+PRIORITY_GROUP = {"1-URGENT": "O-", "2-HIGH": "AB-", "3-MEDIUM": "B-", "4-NOT SPECIFIED": "A-", "5-LOW": "O+"}
 EVENT_GROUP = {"signup": "O-", "click": "AB-", "error": "B-", "purchase": "A+", "view": "O+"}
 RETURN_STATUS = {"N": "Completed", "A": "Cancelled", "R": "Rejected"}
 RETURN_COMPONENT = {"N": "RBC", "A": "Plasma", "R": "Platelets"}
@@ -37,6 +41,11 @@ LINE_MOVEMENT = {
 ELIGIBILITY = {0: "Eligible", 1: "Temporarily Ineligible", 2: "Inactive", 3: "Unknown", 4: "On Leave"}
 SPELLING = {1: " pos ", 2: " Positive", 3: "+", 4: " NEG", 5: "negative", 6: " - ", 7: "POS"}
 EPOCH = dt.date(1995, 1, 1)
+# Added to a key, it names nothing.
+NOWHERE = 1_000_000_000
+# Groups that one bank alone holds, with these units; other watch-listed groups follow the sold quantities.
+SCARCE = {"AB-": 4, "B-": 8, "A-": 0}
+SCARCE_BANK, LOST_BANK = 1, 2
 
 STAR_POLICY: Policy = replace(DEFAULT_POLICY, as_of=dt.date(2001, 11, 5))
 
@@ -53,7 +62,7 @@ class Star:
     def _placed(self, df: DataFrame, nation_key: str) -> DataFrame:
         nation, region = self.table("nation"), self.table("region")
         places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        return df.join(places, F.col(nation_key) == F.col("n_nationkey"))
+        return df.join(places, F.col(nation_key) == F.col("n_nationkey"), "left")
 
     def donors(self) -> DataFrame:
         worth = F.floor(F.abs("c_acctbal")).cast("int")
@@ -88,7 +97,7 @@ class Star:
     def donation_lines(self) -> DataFrame:
         """Donations before their order is known: keyed by (order, line), with the copies still in."""
         return self.table("lineitem").select(
-            "l_orderkey", "l_linenumber", F.col("l_suppkey").alias("blood_bank_id"),
+            "l_orderkey", "l_linenumber", astray(F.col("l_suppkey"), F.col("l_partkey"), 41).alias("blood_bank_id"),
             F.when(F.col("l_partkey") % 3 != 0, F.col("l_partkey")).alias("camp_id"),
             F.to_date("l_shipdate").alias("donation_date"),
             F.col("l_quantity").cast("int").alias("units_donated"),
@@ -97,10 +106,10 @@ class Star:
 
     def _with_order(self, lines: DataFrame) -> DataFrame:
         orders = self.table("orders").select(
-            "o_orderkey", F.col("o_custkey").alias("donor_id"),
+            "o_orderkey", astray(F.col("o_custkey"), F.col("o_orderkey"), 50).alias("donor_id"),
             translate(F.col("o_orderpriority"), PRIORITY_GROUP).alias("blood_group"),
         )
-        joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
         return joined.select(
             donation_key().alias("donation_id"), "donor_id", "blood_bank_id", "camp_id", "donation_date",
             "blood_group", "units_donated", "donation_status",
@@ -126,11 +135,14 @@ class Star:
         orders = self.table("orders").select(
             "o_orderkey", translate(F.col("o_orderpriority"), PRIORITY_GROUP).alias("blood_group")
         )
-        stock = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy(
-            F.col("l_suppkey").alias("blood_bank_id"), "blood_group"
-        ).agg(
-            (F.sum("l_quantity").cast("bigint") % 17).cast("int").alias("available_units"),
-            F.max("l_shipdate").alias("last_updated"),
+        sold = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left").groupBy("l_suppkey", "blood_group").agg(
+            (F.sum("l_quantity").cast("bigint") % 17).cast("int").alias("_units"), F.max("l_shipdate").alias("last_updated"),
+        )
+        held = F.when(F.col("l_suppkey") == SCARCE_BANK, translate(F.col("blood_group"), SCARCE)).otherwise(F.lit(0))
+        stock = sold.select(
+            F.when(F.col("l_suppkey") == LOST_BANK, F.col("l_suppkey") + NOWHERE).otherwise(F.col("l_suppkey")).alias("blood_bank_id"),
+            "blood_group", F.when(F.col("blood_group").isin(*SCARCE), held).otherwise(F.col("_units")).cast("int").alias("available_units"),
+            "last_updated",
         )
         return stock.withColumns({
             "inventory_id": F.concat_ws("-", F.col("blood_bank_id").cast("string"), "blood_group"),
@@ -175,12 +187,18 @@ class Star:
             donation_key().alias("donation_id"),
             F.concat(F.lit(" "), letter, translate(F.col("l_linenumber"), SPELLING)).alias("raw_code"),
             F.coalesce(words, F.when(F.col("l_tax") > 0.01, F.lit("  SUCCESS ")), F.lit("on HOLD")).alias("raw_status"),
-            F.when(F.col("l_discount") > 0.01, F.lit("  ")).alias("raw_note"),
+            F.when(F.col("l_discount") > 0.05, F.concat(F.lit(" line "), F.col("l_linenumber").cast("string"), F.lit(" ")))
+            .when(F.col("l_discount") > 0.01, F.lit("  ")).alias("raw_note"),
         )
 
 
+def astray(key: Column, by: Column, step: int) -> Column:
+    """The key, but unknown for one in ``step`` of the numbers ``by``, and NULL for another."""
+    return F.when(by % step == 7, key + NOWHERE).when(by % step != 8, key)
+
+
 def donation_key() -> Column:
-    """Order and line number as one number; a line number never reaches 8."""
+    """Order and line number as one number; line numbers run from 1 to 7 in this schema."""
     return F.col("l_orderkey") * 8 + F.col("l_linenumber")
 
 
@@ -188,13 +206,14 @@ def as_donation_events(events: DataFrame, *extra: Column) -> DataFrame:
     """The events table read as live donation events, batch or streaming."""
     amount = F.col("value")
     return events.select(
-        F.col("event_id").alias("donation_id"), F.col("user_id").alias("donor_id"),
+        (F.col("event_id") - F.when(F.col("event_id") % 3 == 1, 1).otherwise(0)).alias("donation_id"),
+        astray(F.col("user_id"), F.col("event_id"), 90).alias("donor_id"),
         F.get_json_object("props", "$.k").try_cast("bigint").alias("blood_bank_id"),
         F.when(F.col("event_type") != "view", F.floor(amount * 10)).alias("camp_id"),
-        F.when(amount > 0.5, F.to_date("ts")).alias("donation_date"),
+        F.when((amount > 0.5) & (F.col("event_id") % 4 != 2), F.to_date("ts")).alias("donation_date"),
         translate(F.col("event_type"), EVENT_GROUP).alias("blood_group"),
         (F.floor(amount / 20)).cast("int").alias("units_donated"),
         F.when(amount < 200, F.lit("Completed")).otherwise(F.lit("Deferred")).alias("donation_status"),
-        F.when(amount > 0.25, F.col("ts")).alias("event_time"),
+        F.when((amount > 0.25) & (F.col("event_id") % 7 != 3), F.col("ts")).alias("event_time"),
         F.lit("live").alias("source"), F.lit("blood_donation").alias("event_type"), *extra,
     )

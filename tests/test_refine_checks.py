@@ -113,9 +113,9 @@ def test_enrichment_flags(spark, policy):
 
 def test_layer_metrics(spark, policy):
     parts, clean = cleaned(spark, policy)
-    row = refine.layer_metrics(raw_donations(spark), live_donations(spark), clean, refine.enrich(clean, *dims(spark, policy))).collect()[0]
+    row = refine.layer_metrics(raw_donations(spark), live_donations(spark), refine.enrich(clean, *dims(spark, policy))).collect()[0]
     assert tuple(row) == (5, 2, 7, 2, 3, 2, 3, 0, 2, 2)
-    alone = refine.layer_metrics(raw_donations(spark), None, clean, refine.enrich(clean, *dims(spark, policy))).collect()[0]
+    alone = refine.layer_metrics(raw_donations(spark), None, refine.enrich(clean, *dims(spark, policy))).collect()[0]
     assert alone["streaming_donations"] == 0
 
 
