@@ -175,7 +175,7 @@ _BLOCKS: dict[str, str] = {
         FROM (SELECT blood_group, count(*) AS n, CAST(sum(units_donated) AS BIGINT) AS u FROM completed GROUP BY 1)""",
     "live": f"""
         SELECT event_id - CASE WHEN event_id % 3 = 1 THEN 1 ELSE 0 END AS donation_id, {_astray('user_id', 'event_id', 90)} AS donor_id,
-               TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS blood_bank_id,
+               {_astray("TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)", 'event_id', 80)} AS blood_bank_id,
                CASE WHEN event_type <> 'view' THEN CAST(floor(value * 10) AS BIGINT) END AS camp_id,
                CASE WHEN value > 0.5 AND event_id % 4 <> 2 THEN CAST(ts AS DATE) END AS donation_date,
                {_choose('event_type', _EVENT)} AS blood_group, CAST(floor(value / 20) AS INTEGER) AS units_donated,

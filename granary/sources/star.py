@@ -208,7 +208,7 @@ def as_donation_events(events: DataFrame, *extra: Column) -> DataFrame:
     return events.select(
         (F.col("event_id") - F.when(F.col("event_id") % 3 == 1, 1).otherwise(0)).alias("donation_id"),
         astray(F.col("user_id"), F.col("event_id"), 90).alias("donor_id"),
-        F.get_json_object("props", "$.k").try_cast("bigint").alias("blood_bank_id"),
+        astray(F.get_json_object("props", "$.k").try_cast("bigint"), F.col("event_id"), 80).alias("blood_bank_id"),
         F.when(F.col("event_type") != "view", F.floor(amount * 10)).alias("camp_id"),
         F.when((amount > 0.5) & (F.col("event_id") % 4 != 2), F.to_date("ts")).alias("donation_date"),
         translate(F.col("event_type"), EVENT_GROUP).alias("blood_group"),
