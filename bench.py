@@ -22,7 +22,7 @@ HEADLINE = (
     "stock_summary", "group_summary_b", "city_stock_b", "center_rank", "stock_detail_b", "daily_summary", "monthly_summary",
     "distribution", "bank_performance", "camp_performance", "donor_roster", "standardise_codes", "dedup", "union_dedup",
     "enrich", "ledger_balance", "demand", "stock_state", "running_balance", "transfers_valid", "transfer_pairs",
-    "transfer_candidates", "event_admission", "orphans", "duplicates",
+    "transfer_candidates", "event_admission", "orphans", "duplicates", "kpis", "enrichment_check", "layer_metrics", "gold_vs_silver",
 )
 WARM_UP = ("stock_state", "enrich", "bank_performance", "center_rank")
 
