@@ -21,4 +21,23 @@ copies AS (SELECT r, count(s.k) AS n FROM dice d LEFT JOIN steps s ON d.source I
 SELECT doc_id, text, lang, d.source, n_chars, CAST(unnest(range(0, c.n)) AS INTEGER) AS copy FROM rows_ d JOIN copies c USING (r)
 """
 
-ORACLES: dict[str, str] = {"op8_poisson_mix": POISSON_MIX}
+NEAR_COPIES = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
+        ELSE list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) END AS s FROM worded),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b USING (shingle)
+    WHERE a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+reached(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x),
+least_ AS (SELECT x, min(y) AS y FROM reached GROUP BY x)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(y, doc_id)) AS component_id,
+       doc_id <= coalesce(y, doc_id) AS kept
+FROM sets LEFT JOIN least_ ON doc_id = x
+"""
+
+ORACLES: dict[str, str] = {"op3_hyperminhash": NEAR_COPIES, "op8_poisson_mix": POISSON_MIX}

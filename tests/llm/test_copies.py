@@ -155,3 +155,17 @@ def test_units_survive_any_batch_borders():
     for step in (1, 7, 60):
         got = [(u.key, u.rep.tolist()) for u in hmh.units(whole.slice(a, step) for a in range(0, 60, step))]
         assert got == [(k, np.flatnonzero(unit == k).tolist()) for k in sorted(set(unit.tolist()))]
+
+
+def test_query_equals_sql(spark):
+    import duckdb
+
+    from granary.llm.oracles import ORACLES
+    from granary.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    expected = con.execute(f"SELECT doc_id, n_shingles, component_id, kept FROM ({ORACLES['op3_hyperminhash']})").fetchall()
+    found = QUERIES["op3_hyperminhash"](spark, folder).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert sorted(map(tuple, found)) == sorted(expected)
