@@ -16,7 +16,7 @@ from granary.policy import DEFAULT_POLICY  # noqa: E402
 def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]").appName("granary-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
