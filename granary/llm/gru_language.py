@@ -140,7 +140,7 @@ def gradients(net: Network, windows: np.ndarray, language: np.ndarray) -> tuple[
     return loss, grad
 
 
-def train(windows: np.ndarray, language: np.ndarray, languages: int, steps: int = 180, batch: int = 256, rate: float = 0.015, seed: int = 4) -> Network:
+def train(windows: np.ndarray, language: np.ndarray, languages: int, steps: int = 320, batch: int = 256, rate: float = 0.015, seed: int = 4) -> Network:
     """Adam over seeded batches with a falling rate and clipped gradients."""
     net = start(languages)
     first, second = [np.zeros_like(a) for a in net], [np.zeros_like(a) for a in net]
@@ -194,7 +194,7 @@ def predict(model: Model, texts: Sequence[str | None]) -> tuple[list[str], list[
     return names, scores
 
 
-def learn(documents: DataFrame, folds: int = 4, held_out: int = 2, per_language: int = PER_LANGUAGE, steps: int = 180) -> Model:
+def learn(documents: DataFrame, folds: int = 4, held_out: int = 2, per_language: int = PER_LANGUAGE, steps: int = 320) -> Model:
     """Train on excerpts of at most ``per_language`` documents of each of the most frequent languages,
     picked by a hash of the id outside the held-out fold. NULL languages, texts and ids teach nothing."""
     spark = documents.sparkSession
@@ -234,7 +234,7 @@ def identify(documents: DataFrame, model: Model, key: str = "doc_id", text: str
     return documents.select(key, text).mapInArrow(run, f"`{key}` {kind}, `{into}` string, `{score}` double")
 
 
-def keep(documents: DataFrame, model: Model, least: float = 0.4, text: str = "text") -> DataFrame:
+def keep(documents: DataFrame, model: Model, least: float = 0.3, text: str = "text") -> DataFrame:
     """The rows in a learned language with a probability of ``least`` or more, with all their columns."""
     ship(documents.sparkSession)
 
