@@ -246,7 +246,7 @@ class WordEncoder:
             else:
                 parts.add(word)
         plain, letters, rest = [], [], []
-        for word in parts - self.known.keys():
+        for word in parts.difference(self.known):
             (plain if word.islower() and word.isalpha() else letters if self.letter(word.decode()) else rest).append(word)
         self._ask_together(plain, self.quick)
         self._ask_together(letters, self.tokenizer)
@@ -257,7 +257,7 @@ class WordEncoder:
     def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
         cut = [self.words(t) for t in texts]
         words = set(chain.from_iterable(cut))
-        new = words - self.known.keys()
+        new = words.difference(self.known)
         if len(self.known) + len(new) > REMEMBERED_WORDS:
             self.known.clear()
             new = words

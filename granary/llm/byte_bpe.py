@@ -116,7 +116,7 @@ class Codec:
         """Ids of every text as little-endian 32-bit integers; a NULL text has none."""
         cut = [self.words_of(text) if text else [] for text in texts]
         words = set(chain.from_iterable(cut))
-        new = words - self.known.keys()
+        new = words.difference(self.known)
         if len(self.known) + len(new) > REMEMBERED_WORDS:
             self.known.clear()
             new = words
