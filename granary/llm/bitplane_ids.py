@@ -191,14 +191,22 @@ class WordEncoder:
     The library encodes each distinct word once; a text's ids are those of its words in order, which
     equals encoding the text in one go. Words are kept as lower-cased bytes, and closing marks after
     a letter or digit are encoded apart from the word, so fewer words have to be encoded.
+
+    Strings of the file's added tokens, such as <|endoftext|>, become those tokens, as in the library by itself;
+    with ``added_as_text`` they are split like other text. The library looks for them before it lower-cases, so a
+    word that holds one in any case is encoded as it is.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added_as_text: bool = True) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer, self.quick = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = self.quick.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = self.quick.encode_special_tokens = added_as_text
+        added = [] if added_as_text else [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(a.split() != [a] for a in added):
+            raise ValueError(f"{path} has added tokens with white space")
+        self.holds_added = re.compile(b"|".join(re.escape(a.lower()) for a in added)).search if added else lambda raw: None
         # Lower-case ASCII letters are what the normaliser and the splitter leave as they are.
         self.quick.normalizer, self.quick.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
         ending = self.tokenizer.model.end_of_word_suffix
@@ -213,7 +221,11 @@ class WordEncoder:
 
     def words(self, text: str | None) -> list[bytes]:
         raw = (text or "").encode()
-        return (raw.lower() if len(raw) == len(text or "") or not self.composed(text) else raw).split()
+        low = raw.lower()
+        used = low if len(raw) == len(text or "") or not self.composed(text) else raw
+        if self.holds_added(low):
+            return [whole if self.holds_added(whole.lower()) else word for whole, word in zip(raw.split(), used.split())]
+        return used.split()
 
     def _ask_together(self, words: Sequence[bytes], tokenizer) -> None:
         """Words of letters only: each is one piece for the splitter, so its ids end at the first token
@@ -239,7 +251,7 @@ class WordEncoder:
     def _learn(self, words: set[bytes]) -> None:
         parts, tails = set(), []
         for word in words:
-            cut = self.tail(word)
+            cut = not self.holds_added(word.lower()) and self.tail(word)
             if cut and (stem := word[:cut.start()]) and (stem[-1:].isalnum() or self.letter(stem.decode()[-1])):
                 tails.append((word, stem, cut[0]))
                 parts.update((stem, cut[0]))
@@ -267,13 +279,13 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def word_encoder(path: str, added_as_text: bool = True) -> WordEncoder:
+    return WordEncoder(path, added_as_text)
 
 
 # ---- datasets --------------------------------------------------------------------------------
 
-def write(documents: DataFrame, folder: str, tokenizer: str, end_id: int, planes: Planes = Planes()) -> DataFrame:
+def write(documents: DataFrame, folder: str, tokenizer: str, end_id: int, planes: Planes = Planes(), added_as_text: bool = True) -> DataFrame:
     """Encode whole texts and write them as shards below ``folder``; returns the manifest.
 
     Documents are sorted by (doc_id, hash of the text), so ties and repeated rows have one order; a NULL doc_id
@@ -281,13 +293,14 @@ def write(documents: DataFrame, folder: str, tokenizer: str, end_id: int, planes
     id. Partitions of the sort are the shards, written by the tasks that hold them; a repeated task
     writes the same file again. The manifest (shard, path, documents, ids, first_id) is a Parquet table
     in the folder. Empty input gives an empty manifest. ``folder`` must be reachable from all executors.
+    ``added_as_text`` splits strings of added tokens as words; the library by itself, and the query, don't.
     """
     spark = documents.sparkSession
     ship(spark)
     base = folder.rstrip("/")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, out, end = word_encoder(tokenizer), None, np.array([end_id], "<u4")
+        own, out, end = word_encoder(tokenizer, added_as_text), None, np.array([end_id], "<u4")
         shard = TaskContext.get().partitionId()
         path = f"{base}/shard-{shard:06d}.idp"
         for batch in batches:

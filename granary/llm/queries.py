@@ -84,7 +84,7 @@ def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_bitplane_ids(spark: SparkSession, folder: str) -> DataFrame:
     place = scratch(spark, "ids")
-    bitplane_ids.write(table(spark, folder, "documents"), place, public_tokenizers.path("word_bpe_49k.json"), END_ID)
+    bitplane_ids.write(table(spark, folder, "documents"), place, public_tokenizers.path("word_bpe_49k.json"), END_ID, added_as_text=False)
     return bitplane_ids.digests(spark, place)
 
 

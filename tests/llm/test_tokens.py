@@ -115,3 +115,31 @@ def test_no_documents_no_files(spark):
     place = scratch(spark, "test-ids")
     assert bitplane_ids.write(empty(spark), place, WORDS, 2).count() == 0
     assert bitplane_ids.digests(spark, place).count() == 0
+
+
+ADDED = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y.", "Don<|endoftext|>'t!?", "<|ENDOFTEXT|> <|EndOfText|>, <|endoftext|>,", "E<|startoftext|>\u0301 É<|endoftext|>",
+         "<|endoftext|><|startoftext|>", "<|endoftext|", "end.<|startoftext|>Start", "H\u0331 <|endoftext|> ABC\u0331", "İ<|endoftext|>\u3000<|endoftext|>\x1cX"]
+
+
+@pytest.fixture(scope="module")
+def unaltered():
+    return Tokenizer.from_file(WORDS)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(TEXTS, st.sampled_from(ADDED)), max_size=5).map("".join))
+def test_added_tokens_equal_the_unaltered_library(unaltered, text):
+    own = bitplane_ids.word_encoder(WORDS, False)
+    for t in (text, *ADDED):
+        assert own.encode([t])[0].tolist() == unaltered.encode(t, add_special_tokens=False).ids
+    assert own.encode([ADDED[0]])[0].tolist() == [320, 49407, 321]
+
+
+def test_query_equals_the_unaltered_library(spark, unaltered, tmp_path):
+    from granary.llm.queries import QUERIES
+
+    documents(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    texts = {r["doc_id"]: r["text"] or "" for r in documents(spark).collect()}
+    for row in QUERIES["op10_bitplane_ids"](spark, str(tmp_path)).collect():
+        ids = np.array(unaltered.encode(texts[row["doc_id"]], add_special_tokens=False).ids + [2], "<u4")
+        assert (row["n_tokens"], row["ids_crc32"]) == (len(ids), zlib.crc32(ids.tobytes()))
