@@ -48,31 +48,52 @@ def chars_in(text: Column, characters: str) -> Column:
     return (F.length(held) - F.length(F.translate(held, characters, ""))).cast("long")
 
 
+def window_hash(*words: Column) -> Column:
+    return F.xxhash64(*words)
+
+
 def repeated_words(words: Column) -> Column:
-    """Words inside 3-word windows that occur at least twice.
+    """Words inside 3-word windows that occur at least twice; exact whatever the hashes.
 
-    Window hashes are sorted together with their places, so equal windows are neighbours; neighbours
-    with one hash are compared by their words. The places found are then merged as intervals.
+    High bits of window hashes are sorted together with their places. If neighbours with one hash always
+    have the same words, so has every run of that hash, and members of runs are the repeats. A text where
+    two different windows share a hash is sorted by the words themselves. The places found are then
+    merged as intervals.
     """
     mask = (1 << PLACE_BITS) - 1
 
     def at(items, i):
         return F.get(items, i.cast("int"))
 
-    def equal(words_, a, b):
-        p, q = a.bitwiseAND(F.lit(mask)), b.bitwiseAND(F.lit(mask))
-        texts = [at(words_, p + i) == at(words_, q + i) for i in range(3)]
-        return (F.shiftrightunsigned(a.bitwiseXOR(b), PLACE_BITS) == 0) & texts[0] & texts[1] & texts[2]
+    def alike(a, b):
+        return F.shiftrightunsigned(a.bitwiseXOR(b), PLACE_BITS) == 0
 
     def windows(words_):
-        return F.array_sort(F.transform(
+        return F.sort_array(F.transform(
             F.sequence(F.lit(0), F.size(words_) - 3),
-            lambda i: F.xxhash64(at(words_, i), at(words_, i + 1), at(words_, i + 2)).bitwiseAND(F.lit(~mask)).bitwiseOR(i.cast("long"))))
+            lambda i: window_hash(at(words_, i), at(words_, i + 1), at(words_, i + 2)).bitwiseAND(F.lit(~mask)).bitwiseOR(i.cast("long"))))
+
+    def collides(words_, keys):
+        def differ(a, b):
+            p, q = a.bitwiseAND(F.lit(mask)), b.bitwiseAND(F.lit(mask))
+            return alike(a, b) & ((at(words_, p) != at(words_, q)) | (at(words_, p + 1) != at(words_, q + 1)) | (at(words_, p + 2) != at(words_, q + 2)))
+
+        return F.size(F.filter(keys, lambda key, i: (i > 0) & differ(key, at(keys, F.greatest(i - 1, F.lit(0)))))) > 0
+
+    def twice(keys, same):
+        return F.filter(keys, lambda key, i: F.coalesce(same(key, at(keys, i + 1)), F.lit(False))
+                        | ((i > 0) & same(key, at(keys, F.greatest(i - 1, F.lit(0))))))
+
+    def by_hash(keys):
+        return F.sort_array(F.transform(twice(keys, alike), lambda key: key.bitwiseAND(F.lit(mask))))
+
+    def by_words(words_):
+        keys = F.sort_array(F.transform(F.sequence(F.lit(0), F.size(words_) - 3), lambda i: F.struct(
+            F.struct(at(words_, i).alias("a"), at(words_, i + 1).alias("b"), at(words_, i + 2).alias("c")).alias("w"), i.cast("long").alias("place"))))
+        return let(keys, lambda k: F.sort_array(F.transform(twice(k, lambda x, y: x["w"] == y["w"]), lambda key: key["place"])))
 
     def places(words_, keys):
-        twice = F.filter(keys, lambda key, i: F.coalesce(equal(words_, key, at(keys, i + 1)), F.lit(False))
-                         | F.coalesce((i > 0) & equal(words_, key, at(keys, F.greatest(i - 1, F.lit(0)))), F.lit(False)))
-        return F.array_sort(F.transform(twice, lambda key: key.bitwiseAND(F.lit(mask))))
+        return F.when(collides(words_, keys), by_words(words_)).otherwise(by_hash(keys))
 
     def covered(found):
         gaps = F.transform(found, lambda p, i: F.least(F.lit(3), F.coalesce(at(found, i + 1) - p, F.lit(3))))

@@ -40,6 +40,17 @@ def test_statistics_of_odd_rows(spark):
     assert dl.statistics(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("short", [lambda h: F.lit(0).cast("long"), lambda h: h.bitwiseAND(F.lit(3 << dl.PLACE_BITS))])
+def test_repeats_are_exact_under_colliding_hashes(spark, monkeypatch, short):
+    whole = dl.window_hash
+    monkeypatch.setattr(dl, "window_hash", lambda *words: short(whole(*words)))
+    rng = np.random.default_rng(2)
+    texts = ["a b c x a b c", "a b c a b d a b c", "a b", "a a a a", "p q r s t u v w x y z", *[" ".join(f"w{k}" for k in rng.integers(0, 6, n)) for n in (20, 60, 200)]]
+    rows = documents(spark, [(i, t, None, None, 0) for i, t in enumerate(texts)])
+    found = {r["doc_id"]: r["n_repeat_words"] for r in dl.statistics(rows).collect()}
+    assert found == {i: counted(t)["n_repeat_words"] for i, t in enumerate(texts)}
+
+
 def test_query_is_native_and_right(spark):
     found = QUERIES["op7_decision_lists"](spark, FOLDER)
     assert not re.search(r"Python|Pandas|Arrow", found._jdf.queryExecution().executedPlan().toString())
