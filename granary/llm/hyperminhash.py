@@ -34,6 +34,8 @@ MANTISSA_BITS = 10
 MARGIN = 5.0
 BLOCK = 1024
 UNIT = ("band", "key", "bi", "bj")
+# A class is known by these; its rep need not be its own if a doc_id stands for several texts.
+CLASS = ("h1", "h2")
 
 
 class Rule(NamedTuple):
@@ -82,6 +84,12 @@ def possible(equal: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> n
     return reachable & (estimate(equal, n, m) >= limit - MARGIN * np.sqrt(limit * (1 - limit) / REGISTERS))
 
 
+def class_key(words: np.ndarray) -> tuple[int, int]:
+    """Two hashes of a word sequence."""
+    places = np.arange(1, len(words) + 1, dtype=np.uint64)
+    return tuple(int(chain(*pair).sum(dtype=np.uint64).view(np.int64)) for pair in ((words, places), (places, words)))
+
+
 def describe(documents: DataFrame, rule: Rule) -> DataFrame:
     """Per row: doc_id, n_shingles, two hashes of the word sequence, registers as 32 longs (a band each)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,9 +100,9 @@ def describe(documents: DataFrame, rule: Rule) -> DataFrame:
                     words = word_hashes(text)
                     found = shingles(words, rule.size)
                     sizes.append(len(found))
-                    places = np.arange(1, len(words) + 1, dtype=np.uint64)
-                    first.append(int(chain(words, places).sum(dtype=np.uint64).view(np.int64)))
-                    second.append(int(chain(places, words).sum(dtype=np.uint64).view(np.int64)))
+                    h1, h2 = class_key(words)
+                    first.append(h1)
+                    second.append(h2)
                     bands.append(registers(found).tobytes() if len(found) else b"")
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), lists_of(bands, pa.int64())],
@@ -118,6 +126,7 @@ class Unit(NamedTuple):
     n: np.ndarray
     registers: np.ndarray
     sets: list[np.ndarray] | None
+    classes: list[np.ndarray]
 
 
 def units(batches: Iterator[pa.RecordBatch]) -> Iterator[Unit]:
@@ -127,13 +136,13 @@ def units(batches: Iterator[pa.RecordBatch]) -> Iterator[Unit]:
         starts = np.flatnonzero(np.r_[True, np.logical_or.reduce([k[1:] != k[:-1] for k in key])]) if rows.num_rows else []
         numbers = [rows.column(c).to_numpy() for c in ("rep", "block", "n")]
         bands = rows.column("bands").combine_chunks().flatten().to_numpy().astype("<i8").view(np.uint16).reshape(rows.num_rows, REGISTERS)
-        sets = None
+        classes, sets = [rows.column(c).to_numpy() for c in CLASS if c in rows.column_names], None
         if "shingles" in rows.column_names:
             column = rows.column("shingles").combine_chunks()
             values, ends = column.flatten().to_numpy(), column.value_lengths().to_numpy().cumsum()
             sets = np.split(values, ends[:-1])
         for a, b in zip(starts, [*starts[1:], rows.num_rows]):
-            yield Unit(*[int(k[a]) for k in key], *[x[a:b] for x in numbers], bands[a:b], sets[a:b] if sets is not None else None)
+            yield Unit(*[int(k[a]) for k in key], *[x[a:b] for x in numbers], bands[a:b], sets[a:b] if sets is not None else None, [c[a:b] for c in classes])
 
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -198,8 +207,9 @@ def confirmed(unit: Unit, percent: int) -> list[tuple[int, int]]:
         return i
 
     _, ids = np.unique(np.concatenate(unit.sets), return_inverse=True)
-    ends = np.cumsum([len(s) for s in unit.sets])
-    starts = ends - np.diff(ends, prepend=0)
+    sizes = np.array([len(s) for s in unit.sets])
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
     member = np.zeros(int(ids.max()) + 1, bool)
     for x, y in pairs(unit, percent):
         for at in np.unique(x):
@@ -209,7 +219,7 @@ def confirmed(unit: Unit, percent: int) -> list[tuple[int, int]]:
                 continue
             mine = ids[starts[at]:ends[at]]
             member[mine] = True
-            lengths = unit.n[others]
+            lengths = sizes[others]
             begin = np.cumsum(lengths) - lengths
             flat = np.arange(int(lengths.sum())) + np.repeat(starts[others] - begin, lengths)
             both = np.add.reduceat(member[ids[flat]].astype(np.int64), begin)
@@ -235,20 +245,20 @@ def classes_of(described: DataFrame) -> DataFrame:
 
 def _dealt(rows: DataFrame) -> DataFrame:
     width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(width, *UNIT).sortWithinPartitions(*UNIT, "rep")
+    return rows.repartition(width, *UNIT).sortWithinPartitions(*UNIT, "rep", *CLASS)
 
 
 def links(documents: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """Confirmed links (a, b) between class representatives that connect whatever the limit connects."""
-    keyed = classes.select("rep", F.posexplode("bands").alias("band", "key"))
+    keyed = classes.select("rep", *CLASS, F.posexplode("bands").alias("band", "key"))
     crowded = keyed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").withColumnsRenamed({"band": "_b", "key": "_k"})
     entries = keyed.join(crowded, (F.col("band") == F.col("_b")) & (F.col("key") == F.col("_k")))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64(F.lit(43), F.col("rep")), blocks).cast("int")
+    own = F.pmod(F.xxhash64(F.lit(43), *CLASS), blocks).cast("int")
     # A block meets every block of its bucket, itself included.
-    placed = entries.select("band", "key", "rep", own.alias("block"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_other")).select(
-        "band", "key", F.least("block", "_other").alias("bi"), F.greatest("block", "_other").alias("bj"), "rep", "block")
-    traits = classes.select(F.col("rep").alias("_rep"), F.col("n"), F.col("bands"))
+    placed = entries.select("band", "key", "rep", *CLASS, own.alias("block"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_other")).select(
+        "band", "key", F.least("block", "_other").alias("bi"), F.greatest("block", "_other").alias("bj"), "rep", *CLASS, "block")
+    traits = classes.select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), F.col("n"), F.col("bands"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for unit in units(batches):
@@ -257,11 +267,12 @@ def links(documents: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
                 fixed = [pa.array(np.full(len(at), v), pa.int64()) for v in (unit.band, unit.key, unit.bi, unit.bj)]
                 yield pa.RecordBatch.from_arrays(
                     [*fixed, pa.array(unit.rep[at]), pa.array(unit.block[at], pa.int64()), pa.array(unit.n[at]),
-                     lists_of([unit.registers[i].tobytes() for i in at], pa.int64())],
-                    [*UNIT, "rep", "block", "n", "bands"])
+                     lists_of([unit.registers[i].tobytes() for i in at], pa.int64()), *[pa.array(c[at]) for c in unit.classes]],
+                    [*UNIT, "rep", "block", "n", "bands", *CLASS])
 
-    columns = "band long, key long, bi long, bj long, rep long, block long, n long, bands array<long>"
-    wide = placed.join(traits, placed["rep"] == traits["_rep"]).select(*[F.col(c).cast("long") for c in (*UNIT, "rep", "block")], "n", "bands")
+    columns = "band long, key long, bi long, bj long, rep long, block long, n long, bands array<long>, h1 long, h2 long"
+    wide = placed.join(traits, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))).select(
+        *[F.col(c).cast("long") for c in (*UNIT, "rep", "block")], "n", "bands", *CLASS)
     near = settle(_dealt(wide).mapInArrow(find, columns))
     sets = shingle_sets(documents, near.select("rep").distinct(), rule)
 
@@ -271,21 +282,33 @@ def links(documents: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
 
-    full = near.join(sets, near["rep"] == sets["_id"]).select(*near.columns, "shingles")
+    full = near.join(sets, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))).select(*near.columns, "shingles")
     return _dealt(full).mapInArrow(confirm, "a long, b long")
 
 
 def shingle_sets(documents: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
-    """(_id, shingles): sorted distinct shingle hashes of the wanted documents; one row per id."""
+    """(_h1, _h2, shingles): sorted distinct shingle hashes of the wanted documents; one row per word sequence."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                found = [shingles(word_hashes(t), rule.size).astype("<u8").tobytes() for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("_id"), lists_of(found, pa.int64())], ["_id", "shingles"])
+                words = [word_hashes(t) for t in part.column("text").to_pylist()]
+                found = [shingles(w, rule.size).astype("<u8").tobytes() for w in words]
+                keys = [pa.array(k, pa.int64()) for k in zip(*map(class_key, words))]
+                yield pa.RecordBatch.from_arrays([*keys, lists_of(found, pa.int64())], ["_h1", "_h2", "shingles"])
 
     texts = documents.select(F.col("doc_id").cast("long").alias("_id"), "text")
     picked = texts.join(wanted, texts["_id"] == wanted["rep"], "left_semi")
-    return picked.mapInArrow(run, "_id long, shingles array<long>")
+    # Rows that share an id may repeat a text; the join that follows needs the same exchange.
+    return picked.mapInArrow(run, "_h1 long, _h2 long, shingles array<long>").groupBy("_h1", "_h2").agg(F.first("shingles").alias("shingles"))
+
+
+def shared_ids(described: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) from each doc_id that stands for several word sequences to the reps of their classes."""
+    named = described.where("n_shingles > 0 and doc_id is not null").select("doc_id", *CLASS)
+    key = F.struct(*CLASS)
+    several = named.groupBy("doc_id").agg(F.min(key).alias("_a"), F.max(key).alias("_b")).where("_a != _b").select(F.col("doc_id").alias("_id"))
+    rows = named.join(several, named["doc_id"] == several["_id"], "left_semi").distinct()
+    return rows.join(classes.select(*CLASS, "rep"), list(CLASS)).where("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
 
 def near_duplicates(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -301,7 +324,7 @@ def near_duplicates(documents: DataFrame, rule: Rule = Rule()) -> DataFrame:
     ship(spark)
     described = settle(describe(documents, rule))
     classes = settle(classes_of(described))
-    joined = components(links(documents, classes, rule))
+    joined = components(links(documents, classes, rule).unionByName(shared_ids(described, classes)))
     group = classes.join(joined, classes["rep"] == joined["vertex"], "left").select(
         F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), F.coalesce("component", "rep").alias("_component"), F.col("n").alias("_n"))
     spread = F.when(F.col("n_shingles") > 0, F.col("h1")).otherwise(F.xxhash64("doc_id"))  # rows without words match nothing, anywhere

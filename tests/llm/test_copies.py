@@ -101,6 +101,24 @@ def test_rows_that_share_an_id(spark):
     assert [(r["doc_id"], r["text"]) for r in hmh.keep_one(rows, hmh.Rule(2)).collect()] == [(1, "a b c")]
 
 
+def test_shared_id_with_near_copies_of_other_lengths(spark, monkeypatch):
+    words = [f"w{i}" for i in range(300)]
+    near, short, long = words[:250] + ["x"] + words[251:], [f"s{i}" for i in range(40)], [f"l{i}" for i in range(900)]
+    near_long = long[:700] + ["y"] + long[701:]
+    texts = [(3, near), (7, words), (7, words), (7, short), (7, long), (2, near_long), (9, short[:-1]), (12, ["alone", "here", "now"])]
+    rows = documents(spark, [(i, " ".join(t), "en", "s", 1) for i, t in texts])
+    for block in (hmh.BLOCK, 1):
+        monkeypatch.setattr(hmh, "BLOCK", block)
+        found = {(r["doc_id"], r["component_id"]) for r in hmh.near_duplicates(rows, hmh.Rule(2)).collect()}
+        assert found == {(2, 2), (3, 2), (7, 2), (9, 2), (12, 12)}
+        assert sorted(r["doc_id"] for r in hmh.keep_one(rows, hmh.Rule(2)).collect()) == [2, 12]
+
+
+def test_shared_id_joins_its_exact_copies(spark):
+    rows = documents(spark, [(i, t, "en", "s", 1) for i, t in ((1, "x y z"), (2, "x y z"), (2, "a b c"), (5, "a b c"))])
+    assert {r["component_id"] for r in hmh.near_duplicates(rows, hmh.Rule(2)).collect()} == {1}
+
+
 def test_registers_are_zeros_and_mantissa():
     found = hmh.registers(np.array([1 << 40], np.uint64))
     least = np.uint64(1 << 40) * hmh._multipliers()
