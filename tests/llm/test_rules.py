@@ -182,3 +182,22 @@ def test_statements_of_the_table(spark):
                 expected[row["doc_id"]].add(name)
     found = {r["doc_id"]: r["licence"] for r in QUERIES["op9_license_scan"](spark, FOLDER).where("via in ('header', 'file')").collect()}
     assert found.keys() == expected.keys() and all(found[i] in expected[i] for i in found)
+
+
+def wrapped(text, mark="# ", width=70):
+    import textwrap
+
+    return "\n".join(mark + line for line in textwrap.wrap(text, width))
+
+
+def test_wrapped_headers_identifiers_and_whole_files(spark):
+    scan = license_scan
+    rows = [(f"{n}.py", wrapped("Copyright 2020 A. Writer. " + scan.GNU_GRANT.format(*w)) + "\nimport os\n", n) for n, *w in scan.FAMILY]
+    rows += [(f"{n}.c", "/*\n" + wrapped(scan.GNU_GRANT.format(*w) + scan.GNU_REST.format(*w), " * ") + "\n */\nint x;\n", n) for n, *w in scan.FAMILY]
+    rows += [("mit.js", wrapped(scan.MIT_GRANT, "// "), "MIT"), ("two/LICENSE", wrapped(scan.BSD_TWO + scan.BSD_REST, ""), "BSD-2-Clause"),
+             ("three/LICENSE", wrapped(scan.BSD_TWO + scan.BSD_THIRD + scan.BSD_REST, ""), "BSD-3-Clause"),
+             ("s.py", "# SPDX-License-Identifier: Apache-2.0\nx = 1", "Apache-2.0"), ("t.c", "/* SPDX-License-Identifier: MIT OR Apache-2.0 */", "MIT OR Apache-2.0"),
+             ("plain.py", "# this code redistributes load\nx = 1", None)]
+    rows += [(f"f{k}/COPYING", t, n) for n, texts in scan.whole_texts().items() for k, t in enumerate(texts)]
+    files = spark.createDataFrame([(f"d{i}/{p}", t, n) for i, (p, t, n) in enumerate(rows)], "path string, text string, want string")
+    assert [(r["path"], r["licence"], r["want"]) for r in scan.scan(files).collect() if r["licence"] != r["want"]] == []
