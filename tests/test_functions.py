@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import by, rows
+from helpers import by, rows
 from granary.functions import flags, scores, text
 from granary.functions.bands import label, translate
 from granary.operators.refine import group_code

@@ -5,7 +5,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from conftest import by, rows
+from helpers import by, rows
 from granary.operators import keyed
 from granary.operators.rank import competition_rank, exact_median
 

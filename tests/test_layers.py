@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from conftest import by, rows
+from helpers import by, rows
 from granary.operators import checks
 from granary.plans.layers import Lake, run_all, run_bronze, run_checks
 from granary.sources import files, schemas

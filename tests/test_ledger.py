@@ -4,7 +4,7 @@ from collections import defaultdict
 
 import pytest
 
-from conftest import by, rows
+from helpers import by, rows
 from granary.operators import board, checks, ledger, transfers
 from granary.sources import schemas
 

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import by, rows
+from helpers import by, rows
 from granary.operators import checks, keyed, refine
 from granary.operators.admission import judge
 from granary.sources import schemas

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import by, rows
+from helpers import by, rows
 from granary.operators import activity, board, stock
 
 DAY = dt.datetime(2026, 8, 1, 10)

@@ -1,7 +1,7 @@
 import datetime as dt
 import json
 
-from conftest import by, rows
+from helpers import by, rows
 from granary.operators import board, checks
 from granary.sources import schemas
 from granary.sources.files import read_optional
