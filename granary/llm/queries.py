@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.llm import (
-    bitplane_ids, byte_bpe, decision_lists, ftrl_toxicity, gru_language, hyperminhash, license_scan, pairwise_quality, permutation_index,
-    poisson_mix,
+    bitplane_ids, byte_bpe, decision_lists, filter_audit, ftrl_toxicity, gru_language, hyperminhash, license_scan, ngram_join,
+    pairwise_quality, permutation_index, poisson_mix, table_clusters,
 )
 from granary.llm.batches import fold_of
 from granary.llm.oracles import ORACLES as ORACLES
@@ -88,6 +88,19 @@ def op10_bitplane_ids(spark: SparkSession, folder: str) -> DataFrame:
     return bitplane_ids.digests(spark, place)
 
 
+def op11_table_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return table_clusters.cluster(table(spark, folder, "embeddings"))
+
+
+def op12_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join(table(spark, folder, "documents"), ngram_join.Rule(size=3, percent=90))
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit_documents(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("filter")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_permutation_index, op2_byte_bpe, op3_hyperminhash, op4_pairwise_quality, op5_ftrl_toxicity, op6_gru_language, op7_decision_lists, op8_poisson_mix, op9_license_scan, op10_bitplane_ids,
+    op11_table_clusters, op12_ngram_join, op13_filter_audit,
 )}
