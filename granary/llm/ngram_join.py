@@ -17,12 +17,14 @@ Frequencies are those of buckets of tokens, counted over all documents in an arr
 of the tokens follow from it. Equal sets are one class of documents from the start. Documents that post the
 same signature form a list; lists with equal members count once. Lists are cut into blocks, and a task holds
 two blocks. A first pass compares sizes and token counts in 64 buckets, which bounds the common tokens from above
-without loss; sets of documents that still have a possible partner are brought to the same blocks, and links
-are confirmed on them. A pair of blocks returns a spanning forest, no list of pairs. Nothing is capped.
+without loss. Links between documents that still have a possible partner are confirmed on whole sets: those that
+lists connect are gathered in one task if they fit a block, larger groups meet in the blocks of their lists.
+A task returns spanning forests, no lists of pairs. Nothing is capped.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 from typing import Iterator, NamedTuple
 
@@ -396,6 +398,26 @@ def lists(signed: DataFrame, rule: Rule) -> DataFrame:
     return rows.join(kept, rows["sig"] == kept["_sig"]).select("sig", "size", *CLASS)
 
 
+def gathered(near: DataFrame) -> DataFrame:
+    """The rows of units, dealt so that sets travel less: documents that are connected by units and fit one
+    block become one unit, where each of them stands once; larger groups keep their units."""
+    least = near.groupBy(*UNIT).agg(F.min("rep").alias("_least")).withColumnsRenamed({c: f"_{c}" for c in UNIT})
+    met = near.join(least, reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_{c}") for c in UNIT]))
+    # A unit whose members share one doc_id has no other vertex to hang them on; they are known by that id.
+    found = components(met.select(F.col("_least").alias("a"), F.col("rep").alias("b")))
+    members = near.select(*CLASS, "rep", "n", "mass").dropDuplicates(list(CLASS))
+    grouped = settle(members.join(found, F.col("rep") == F.col("vertex"), "left").select(
+        *members.columns, F.coalesce("component", "rep").alias("component")))
+    size = grouped.groupBy("component").agg(F.count(F.lit(1)).alias("_size")).withColumnRenamed("component", "_component")
+    sized = grouped.join(size, F.col("component") == F.col("_component"))
+    nowhere = F.lit(-1)
+    small = sized.where(F.col("_size") <= BLOCK).select(
+        F.col("component").alias("sig"), nowhere.alias("bi"), nowhere.alias("bj"), nowhere.alias("block"), *CLASS, "rep", "n", "mass")
+    large = sized.where(F.col("_size") > BLOCK).select(*[F.col(h).alias(f"_{h}") for h in CLASS])
+    kept = near.join(large, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")), "left_semi")
+    return small.unionByName(kept.select(*small.columns))
+
+
 def links(documents: DataFrame, signed: DataFrame, rule: Rule) -> DataFrame:
     """Links (a, b) between class representatives that connect whatever the rule connects."""
     entries = lists(signed, rule)
@@ -421,7 +443,7 @@ def links(documents: DataFrame, signed: DataFrame, rule: Rule) -> DataFrame:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
 
-    return _dealt(near.join(sets, same).select(*columns, "shingles")).mapInArrow(confirm, "a long, b long")
+    return _dealt(gathered(near).join(sets, same).select(*columns, "shingles")).mapInArrow(confirm, "a long, b long")
 
 
 def join(documents: DataFrame, rule: Rule = Rule(), classes: Classes = Classes()) -> DataFrame:
