@@ -17,8 +17,8 @@ Frequencies are those of buckets of tokens, counted over all documents in an arr
 of the tokens follow from it. Equal sets are one class of documents from the start. Documents that post the
 same signature form a list; lists with equal members count once. Lists are cut into blocks, and a task holds
 two blocks. A first pass compares sizes and token counts in 64 buckets, which bounds the common tokens from above
-without loss. Links between documents that still have a possible partner are confirmed on whole sets: those that
-lists connect are gathered in one task if they fit a block, larger groups meet in the blocks of their lists.
+without loss. Links between documents that still have a possible partner are confirmed on whole sets. Documents
+that lists connect are first gathered to one list, cut into blocks, where that sends fewer sets.
 A task returns spanning forests, no lists of pairs. Nothing is capped.
 """
 
@@ -398,34 +398,39 @@ def lists(signed: DataFrame, rule: Rule) -> DataFrame:
     return rows.join(kept, rows["sig"] == kept["_sig"]).select("sig", "size", *CLASS)
 
 
+def _in_blocks(rows: DataFrame, key: str, size: Column, *rest: str) -> DataFrame:
+    """Rows of lists cut into blocks by a hash: a block meets every block of its list, itself included."""
+    blocks = F.ceil(size / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64(F.lit(47), *CLASS), blocks).cast("int")
+    return rows.select(F.col(key).alias("sig"), own.alias("block"), *CLASS, *rest, F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_other")).select(
+        "sig", F.least("block", "_other").alias("bi"), F.greatest("block", "_other").alias("bj"), "block", *CLASS, *rest)
+
+
 def gathered(near: DataFrame) -> DataFrame:
-    """The rows of units, dealt so that sets travel less: documents that are connected by units and fit one
-    block become one unit, where each of them stands once; larger groups keep their units."""
+    """The rows of units, dealt so that sets travel less: documents that are connected by units make one
+    list, cut into blocks like the others, unless the units of its members have fewer rows than that."""
     least = near.groupBy(*UNIT).agg(F.min("rep").alias("_least")).withColumnsRenamed({c: f"_{c}" for c in UNIT})
     met = near.join(least, reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_{c}") for c in UNIT]))
-    # A unit whose members share one doc_id has no other vertex to hang them on; they are known by that id.
     found = components(met.select(F.col("_least").alias("a"), F.col("rep").alias("b")))
-    members = near.select(*CLASS, "rep", "n", "mass").dropDuplicates(list(CLASS))
+    members = near.groupBy(*CLASS).agg(*[F.first(c).alias(c) for c in ("rep", "n", "mass")], F.count(F.lit(1)).alias("_rows"))
+    # Members that share one doc_id are no link's ends; they are known by that id.
     grouped = settle(members.join(found, F.col("rep") == F.col("vertex"), "left").select(
         *members.columns, F.coalesce("component", "rep").alias("component")))
-    size = grouped.groupBy("component").agg(F.count(F.lit(1)).alias("_size")).withColumnRenamed("component", "_component")
-    sized = grouped.join(size, F.col("component") == F.col("_component"))
-    nowhere = F.lit(-1)
-    small = sized.where(F.col("_size") <= BLOCK).select(
-        F.col("component").alias("sig"), nowhere.alias("bi"), nowhere.alias("bj"), nowhere.alias("block"), *CLASS, "rep", "n", "mass")
-    large = sized.where(F.col("_size") > BLOCK).select(*[F.col(h).alias(f"_{h}") for h in CLASS])
-    kept = near.join(large, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")), "left_semi")
-    return small.unionByName(kept.select(*small.columns))
+    size = F.col("_size")
+    sizes = grouped.groupBy("component").agg(F.count(F.lit(1)).alias("_size"), F.sum("_rows").alias("_all")).select(
+        F.col("component").alias("_component"), "_size", (size * F.ceil(size / BLOCK) <= F.col("_all")).alias("_gather"))
+    sized = grouped.join(sizes, F.col("component") == F.col("_component"))
+    # Lists have blocks from 0, so a component can't be taken for the list that has its number.
+    own = _in_blocks(sized.where("_gather"), "component", size, "rep", "n", "mass").withColumns({c: -1 - F.col(c) for c in ("bi", "bj", "block")})
+    others = sized.where("not _gather").select(*[F.col(h).alias(f"_{h}") for h in CLASS])
+    kept = near.join(others, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")), "left_semi")
+    return own.unionByName(kept.select(*own.columns))
 
 
 def links(documents: DataFrame, signed: DataFrame, rule: Rule) -> DataFrame:
     """Links (a, b) between class representatives that connect whatever the rule connects."""
     entries = lists(signed, rule)
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64(F.lit(47), *CLASS), blocks).cast("int")
-    # A block meets every block of its list, itself included.
-    placed = entries.select("sig", *CLASS, own.alias("block"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_other")).select(
-        "sig", F.least("block", "_other").alias("bi"), F.greatest("block", "_other").alias("bj"), "block", F.col("h1").alias("_h1"), F.col("h2").alias("_h2"))
+    placed = _in_blocks(entries, "sig", F.col("size")).withColumnsRenamed({h: f"_{h}" for h in CLASS})
     same = (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))
     columns = [*UNIT, "block", *CLASS, "rep", "n", "mass"]
 
