@@ -44,7 +44,7 @@ from granary.operators.shared_store import settle
 BLOCK = 1024
 # Buckets in which a set's tokens are counted to bound what two sets have in common.
 MASS = 64
-# Bits of the filter that tells whose sets are needed; more rows only make it let more through.
+# Bits of the filters that tell which rows a join can need; more keys only make them let more through.
 FILTER_BITS = 1 << 23
 # Buckets of the frequency array that travel in one row.
 CHUNK = 1 << 12
@@ -222,6 +222,19 @@ def sign(documents: DataFrame, rule: Rule, seen: Frequency) -> DataFrame:
     return documents.where("doc_id is not null").select("text").mapInArrow(run, "h1 long, h2 long, sigs array<long>, mass array<long>")
 
 
+def bit_filter(keys: DataFrame, place: Column) -> np.ndarray:
+    """One bit for each place (from 0 to FILTER_BITS) that a key has, in an array of fixed size."""
+    bits = keys.select(place.alias("_p")).groupBy(F.shiftright("_p", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(_p & 63 as int))")).alias("bits"))
+    words, found = np.zeros(FILTER_BITS // 64, np.int64), bits.toArrow()
+    words[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return words
+
+
+def passes(words: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (words[places >> 6] >> (places & 63) & 1).astype(bool)
+
+
 def sets_of(documents: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     """(_h1, _h2, shingles): the sets of the wanted doc_ids (column rep), and of some others.
 
@@ -231,18 +244,12 @@ def sets_of(documents: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     def place(column: str) -> Column:
         return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
 
-    bits = wanted.select(place("rep").alias("_p")).groupBy(F.shiftright("_p", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(_p & 63 as int))")).alias("bits"))
-    words = np.zeros(FILTER_BITS // 64, np.int64)
-    found = bits.toArrow()
-    words[found.column("word").to_numpy()] = found.column("bits").to_numpy()
-    known = documents.sparkSession.sparkContext.broadcast(words)
+    known = documents.sparkSession.sparkContext.broadcast(bit_filter(wanted, place("rep")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column("_p").to_numpy()
-            there = known.value[at >> 6] >> (at & 63) & 1
-            for part in slices(batch.filter(pa.array(there.astype(bool))), "text"):
+            there = passes(known.value, batch.column("_p").to_numpy())
+            for part in slices(batch.filter(pa.array(there)), "text"):
                 sets = _sets(part, rule)
                 yield pa.RecordBatch.from_arrays([*_keys(sets), lists_of([s.astype("<u8").tobytes() for s in sets], pa.int64())], ["_h1", "_h2", "shingles"])
 
@@ -394,8 +401,19 @@ def lists(signed: DataFrame, rule: Rule) -> DataFrame:
         F.count(F.lit(1)).alias("size"), *[F.bit_xor(h).alias(f"x_{h}") for h in CLASS], F.min("n").alias("low"), F.max("n").alias("high"))
     # Two members whose sizes alone rule a link out; larger lists may hold others.
     useful = stats.where((F.col("size") > 2) | (F.col("size") == 2) & (100 * F.col("low") >= rule.percent * F.col("high")))
-    kept = useful.groupBy("size", "x_h1", "x_h2").agg(F.min("sig").alias("_sig")).select("_sig", "size")
-    return rows.join(kept, rows["sig"] == kept["_sig"]).select("sig", "size", *CLASS)
+    kept = settle(useful.groupBy("size", "x_h1", "x_h2").agg(F.min("sig").alias("_sig")).select("_sig", "size"))
+    # Few signatures have a list that is kept: most rows need not be shuffled for the join.
+    known = signed.sparkSession.sparkContext.broadcast(bit_filter(kept, F.col("_sig").bitwiseAND(F.lit(FILTER_BITS - 1))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sigs = batch.column("sigs")
+            sig, row = sigs.flatten().to_numpy(), np.repeat(np.arange(batch.num_rows), sigs.value_lengths().to_numpy())
+            at = np.flatnonzero(passes(known.value, sig & (FILTER_BITS - 1)))
+            yield pa.RecordBatch.from_arrays([pa.array(sig[at]), *[batch.column(h).take(pa.array(row[at])) for h in CLASS]], ["sig", *CLASS])
+
+    posts = signed.select("sigs", *CLASS).mapInArrow(run, "sig long, h1 long, h2 long")
+    return posts.join(kept, posts["sig"] == kept["_sig"]).select("sig", "size", *CLASS)
 
 
 def _in_blocks(rows: DataFrame, key: str, size: Column, *rest: str) -> DataFrame:
