@@ -8,6 +8,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from granary.functions import flags, text
 from granary.functions.bands import label
@@ -15,10 +16,12 @@ from granary.operators import activity, admission, board, checks, keyed, ledger,
 from granary.operators.shared_store import settle, shared_folder
 from granary.sources.files import with_lineage
 from granary.sources.star import LOST_BANK, NOWHERE, Star, as_donation_events
-from granary.streaming import ingest
+from granary.streaming import ingest, keyed_state, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+# Files of a micro-batch in the queries over streams that land in several files.
+FILES_AT_ONCE = 4
 
 
 def query(build: Callable[[Star], DataFrame]) -> Callable[[Star], DataFrame]:
@@ -681,15 +684,81 @@ def _event_files(s: Star) -> DataFrame:
     return reader.parquet(f"{s.folder}/event[s].parquet")
 
 
+def _land(rows: DataFrame, folder: str) -> None:
+    """Another arrival of JSON files, one object per line; equal ids come in one file."""
+    rows.repartition("donation_id").write.mode("append").option("timestampNTZFormat", ingest.EXACT_TIME).json(folder)
+
+
 @query
 def stream_admission(s: Star):
-    """Every micro-batch of the event stream split into admitted and rejected events, read back as one frame."""
+    """Events land as JSON files in two arrivals, repeats of an id in the second; a run admits each in several
+    micro-batches, and the second run knows the first one's ids from the state store alone."""
+    run, events = _run_folder(s.spark), as_donation_events(s.table("events"), F.col("event_id"))
+    for arrival in (F.col("event_id") % 3 != 1, F.col("event_id") % 3 == 1):
+        _land(events.where(arrival).drop("event_id"), f"{run}/landing")
+        stream = ingest.event_stream(s.spark, f"{run}/landing", FILES_AT_ONCE, s.events().schema, one_per_file=False)
+        ingest.drain(keyed_state.admit_by_state(stream, (s.donors(), s.banks(), s.camps()), s.policy, f"{run}/verdicts",
+                                                f"{run}/checkpoint", f"admission-{uuid4().hex}"))
+    return s.spark.read.parquet(f"{run}/verdicts").select("donation_id", "admitted", "reject_reason")
+
+
+def _arrivals(s: Star, astray: bool = False) -> list[DataFrame]:
+    """Events in two arrivals, the earlier half first; if ``astray``, one in ten of the first half comes with the second."""
+    table = s.table("events")
+    half = (table.agg(F.max("event_id")).first()[0] or 0) // 2  # one row
+    events = as_donation_events(table, F.col("event_id"))
+    first = (F.col("event_id") <= half) & (F.col("event_id") % 10 != 4) if astray else F.col("event_id") <= half
+    return [events.where(first), events.where(~first)]
+
+
+def _streamed(s: Star, arrivals: list[DataFrame], start: Callable[[DataFrame, str, str, str], StreamingQuery]) -> DataFrame:
+    """Lands one arrival after the other and lets the query run until it is read; each run goes on from the last one's
+    checkpoint. Returns what the sink holds."""
     run = _run_folder(s.spark)
-    ingest.drain(ingest.admit_each_batch(
-        as_donation_events(_event_files(s)), lambda: (s.donors(), s.banks(), s.camps()), s.policy,
-        f"{run}/admitted", f"{run}/rejected", f"{run}/checkpoint", f"admission-{uuid4().hex}"))
-    admitted = s.spark.read.parquet(f"{run}/admitted").select("donation_id", F.lit(True).alias("admitted"), F.lit(None).cast("string").alias("reject_reason"))
-    return admitted.unionByName(s.spark.read.parquet(f"{run}/rejected").select("donation_id", F.lit(False).alias("admitted"), "reject_reason"))
+    for arrival in arrivals:
+        _land(arrival, f"{run}/landing")
+        stream = ingest.event_stream(s.spark, f"{run}/landing", schema=arrival.schema, one_per_file=False)
+        ingest.drain(start(stream, f"{run}/sink", f"{run}/checkpoint", f"catalog-{uuid4().hex}"))
+    return s.spark.read.parquet(f"{run}/sink")
+
+
+@query
+def tumbling_units(s: Star):
+    """Units per group and six hours; of the events that come with the second arrival many are too late."""
+    return _streamed(s, _arrivals(s, True), lambda events, *to: windows.append_final(
+        windows.tumbling(events, ["blood_group"], "6 hours", "1 day"), *to))
+
+
+@query
+def sliding_units(s: Star):
+    """Units per group and day, every six hours."""
+    return _streamed(s, _arrivals(s, True), lambda events, *to: windows.append_final(
+        windows.sliding(events, ["blood_group"], "1 day", "6 hours", "1 day"), *to))
+
+
+@query
+def session_units(s: Star):
+    """Units per donor and run of events less than six hours apart."""
+    return _streamed(s, _arrivals(s), lambda events, *to: windows.append_final(windows.sessions(events, ["donor_id"], "6 hours", "1 day"), *to))
+
+
+@query
+def late_events(s: Star):
+    """Events that ``tumbling_units`` does not count, and the watermark that they missed."""
+    found = _streamed(s, _arrivals(s, True), lambda events, *to: windows.divert_late(events, "6 hours", "1 day", *to))
+    return found.select("donation_id", "blood_group", "units_donated", "event_time", "low_water")
+
+
+@query
+def event_follow_ups(s: Star):
+    """Every event with its repeat, if that came within four minutes."""
+    def start(events: DataFrame, *to: str) -> StreamingQuery:
+        repeat = F.col("event_id") % 3 == 1
+        later = events.where(repeat).select("donation_id", F.col("event_time").alias("later_time"), F.col("units_donated").alias("later_units"))
+        first = events.where(~repeat).select("donation_id", "event_time", "units_donated")
+        return windows.append_final(windows.with_follow_up(first, later, "donation_id", "4 minutes", "1 hour"), *to)
+
+    return _streamed(s, _arrivals(s), start)
 
 
 @query

@@ -378,6 +378,7 @@ _BLOCKS: dict[str, str] = {
                CAST(value AS BIGINT) AS value, CAST(NULL AS VARCHAR) AS detail
         FROM @checks@""",
 }
+_BLOCKS["arrived"] = _BLOCKS["live"].replace("SELECT ", "SELECT event_id, ts, event_id % 3 = 1 AS repeated, ", 1)
 
 
 def _sql(select: str, **variables: str) -> str:
@@ -444,6 +445,15 @@ _FK = """(SELECT (SELECT count(*) FROM live WHERE donor_id IS NULL OR donor_id N
     (SELECT count(*) FROM live WHERE blood_bank_id IS NULL OR blood_bank_id NOT IN (SELECT blood_bank_id FROM banks)) AS bank,
     (SELECT count(*) FROM live WHERE camp_id NOT IN (SELECT camp_id FROM camps)) AS camp,
     (SELECT count(*) FROM inventory WHERE blood_bank_id NOT IN (SELECT blood_bank_id FROM banks)) AS inventory_bank)"""
+_FAULT = f"""CASE WHEN d.donor_id IS NULL THEN 'Unknown donor_id' WHEN b.blood_bank_id IS NULL THEN 'Unknown blood_bank_id'
+        WHEN e.camp_id IS NOT NULL AND c.camp_id IS NULL THEN 'Unknown camp_id'
+        WHEN e.blood_group IS DISTINCT FROM d.blood_group THEN 'blood_group mismatch'
+        WHEN NOT coalesce(e.units_donated > 0, false) THEN 'Invalid units_donated'
+        WHEN NOT coalesce(e.donation_status IN {_STATUSES}, false) THEN 'Invalid donation_status'
+        WHEN e.event_time IS NULL THEN 'Missing event_time' WHEN e.donation_date IS NULL THEN 'Missing donation_date'
+    END"""
+_FAULT_TABLES = """FROM live e LEFT JOIN donors d ON e.donor_id = d.donor_id LEFT JOIN banks b ON e.blood_bank_id = b.blood_bank_id
+    LEFT JOIN camps c ON e.camp_id = c.camp_id"""
 _ADMISSION = f"""SELECT donation_id, reason IS NULL AS admitted, reason AS reject_reason FROM (
     SELECT donation_id, CASE WHEN stored OR place > min(CASE WHEN fault IS NULL THEN place END) OVER (PARTITION BY donation_id)
         THEN 'Duplicate donation_id' ELSE fault END AS reason
@@ -451,15 +461,13 @@ _ADMISSION = f"""SELECT donation_id, reason IS NULL AS admitted, reason AS rejec
         row_number() OVER (PARTITION BY e.donation_id ORDER BY e.event_time NULLS FIRST, e.donor_id NULLS FIRST,
             e.blood_bank_id NULLS FIRST, e.camp_id NULLS FIRST, e.donation_date NULLS FIRST, e.blood_group NULLS FIRST,
             e.units_donated NULLS FIRST, e.donation_status NULLS FIRST) AS place,
-        CASE WHEN d.donor_id IS NULL THEN 'Unknown donor_id' WHEN b.blood_bank_id IS NULL THEN 'Unknown blood_bank_id'
-        WHEN e.camp_id IS NOT NULL AND c.camp_id IS NULL THEN 'Unknown camp_id'
-        WHEN e.blood_group IS DISTINCT FROM d.blood_group THEN 'blood_group mismatch'
-        WHEN NOT coalesce(e.units_donated > 0, false) THEN 'Invalid units_donated'
-        WHEN NOT coalesce(e.donation_status IN {_STATUSES}, false) THEN 'Invalid donation_status'
-        WHEN e.event_time IS NULL THEN 'Missing event_time' WHEN e.donation_date IS NULL THEN 'Missing donation_date'
-    END AS fault
-    FROM live e LEFT JOIN donors d ON e.donor_id = d.donor_id LEFT JOIN banks b ON e.blood_bank_id = b.blood_bank_id
-    LEFT JOIN camps c ON e.camp_id = c.camp_id))"""
+        {_FAULT} AS fault
+    {_FAULT_TABLES}))"""
+# Two arrivals: an id that the first one admitted is a duplicate in the second, whatever else is wrong.
+_STREAMED = f"""SELECT donation_id, reason IS NULL AS admitted, reason AS reject_reason FROM (
+    SELECT donation_id, CASE WHEN repeated AND bool_or(NOT repeated AND fault IS NULL) OVER (PARTITION BY donation_id)
+        THEN 'Duplicate donation_id' ELSE fault END AS reason
+    FROM (SELECT e.donation_id, e.repeated, {_FAULT} AS fault {_FAULT_TABLES.replace('live', 'arrived')}))"""
 _CLOCKED = "(SELECT *, event_time + to_seconds(donation_id % 13) AS _ingested_at FROM live)"
 _ROLLUP = """SELECT coalesce(section, 'OVERALL') AS section, CASE WHEN count(*) FILTER (status = 'FAIL') > 0 THEN 'FAIL'
         WHEN count(*) FILTER (status <> 'SKIPPED') = 0 THEN 'SKIPPED' ELSE 'PASS' END AS status,
@@ -468,6 +476,22 @@ _ROLLUP = """SELECT coalesce(section, 'OVERALL') AS section, CASE WHEN count(*)
     FROM (SELECT * FROM graded UNION ALL {donors}) GROUP BY ROLLUP (section)"""
 _DONOR_RULES = _counter_rows("donors", "donor_counters", dict.fromkeys(
     ["age_out_of_range", "unknown_eligibility", "invalid_group", "donated_before_registration"], "zero"))
+_WATERMARKED = """(SELECT *, CASE WHEN second THEN (SELECT date_trunc('milliseconds', max(event_time)) - INTERVAL 1 DAY FROM halves WHERE NOT second) END AS low_water
+    FROM halves WHERE event_time IS NOT NULL)"""
+_HALVES = """SELECT *, event_id > (SELECT max(event_id) // 2 FROM events) {astray} AS second FROM arrived"""
+
+
+def _halved(select: str, astray: bool) -> str:
+    """A query over ``halves``: live events and whether they come with the second arrival."""
+    return _sql(select.replace("@marked@", _WATERMARKED).replace("FROM halves", "FROM (" + _HALVES.format(astray="OR event_id % 10 = 4" if astray else "") + ") halves"))
+
+
+def _final(time: str, astray: bool) -> str:
+    """A window that the last watermark has closed."""
+    return f"{time} <= (SELECT date_trunc('milliseconds', max(event_time)) - INTERVAL 1 DAY FROM halves)"
+
+
+_SIX_HOURS = "time_bucket(INTERVAL 6 HOURS, event_time, TIMESTAMP '1970-01-01')"
 
 ORACLES: dict[str, str] = {
     # stock
@@ -657,7 +681,7 @@ ORACLES: dict[str, str] = {
     "first_ingested": _sql(f"""SELECT donation_id, _ingested_at FROM {_CLOCKED} ORDER BY _ingested_at NULLS FIRST, donation_id LIMIT 10"""),
     "ingest_lag": _sql(f"""SELECT donation_id, event_time, _ingested_at, CAST(date_diff('second', event_time, _ingested_at) AS DOUBLE) AS lag_seconds
         FROM {_CLOCKED}"""),
-    "stream_admission": _sql(_ADMISSION.replace("e.donation_id IN (SELECT l_orderkey * 8 + l_linenumber FROM lineitem)", "false")),
+    "stream_admission": _sql(_STREAMED),
     "quantity_rules": _sql(_counter_rows("quantities", _GIVEN, {
         "null_units": "zero", "zero_units": "zero", "negative_units": "zero", "unusually_large_units": "report"})),
     "donor_rules": _sql(_DONOR_RULES),
@@ -777,5 +801,24 @@ ORACLES: dict[str, str] = {
         blood_group IN {_WATCH} AS is_rare, strftime(event_time, '%H:%M:%S') AS event_clock FROM live
         ORDER BY event_time DESC NULLS LAST, donation_id LIMIT 25"""),
     # streaming
+    "tumbling_units": _halved(f"""SELECT blood_group, w AS window_start, w + INTERVAL 6 HOURS AS window_end, count(*) AS events,
+        CAST(sum(units_donated) AS BIGINT) AS units FROM (SELECT *, {_SIX_HOURS} AS w FROM @marked@)
+        WHERE (low_water IS NULL OR w + INTERVAL 6 HOURS > low_water) AND {_final('w + INTERVAL 6 HOURS', True)} GROUP BY 1, 2""", True),
+    "sliding_units": _halved(f"""SELECT blood_group, w AS window_start, w + INTERVAL 1 DAY AS window_end, count(*) AS events,
+        CAST(sum(units_donated) AS BIGINT) AS units FROM (SELECT *, {_SIX_HOURS} - to_hours(6 * k) AS w FROM @marked@, range(4) r(k))
+        WHERE (low_water IS NULL OR w + INTERVAL 1 DAY > low_water) AND {_final('w + INTERVAL 1 DAY', True)} GROUP BY 1, 2""", True),
+    "session_units": _halved(f"""SELECT donor_id, min(event_time) AS window_start, max(event_time) + INTERVAL 6 HOURS AS window_end,
+        count(*) AS events, CAST(sum(units_donated) AS BIGINT) AS units
+        FROM (SELECT *, sum(opens) OVER (PARTITION BY donor_id ORDER BY event_time ROWS UNBOUNDED PRECEDING) AS run FROM (
+            SELECT *, CASE WHEN event_time < lag(event_time) OVER (PARTITION BY donor_id ORDER BY event_time) + INTERVAL 6 HOURS THEN 0 ELSE 1 END AS opens
+            FROM @marked@))
+        GROUP BY donor_id, run HAVING {_final('max(event_time) + INTERVAL 6 HOURS', False)}""", False),
+    "late_events": _halved(f"""SELECT donation_id, blood_group, units_donated, event_time, low_water FROM @marked@
+        WHERE {_SIX_HOURS} + INTERVAL 6 HOURS <= low_water""", True),
+    "event_follow_ups": _sql("""SELECT a.donation_id, a.event_time, a.units_donated, b.event_time AS later_time, b.units_donated AS later_units
+        FROM arrived a LEFT JOIN (SELECT donation_id, event_time, units_donated FROM arrived WHERE repeated) b
+            ON a.donation_id = b.donation_id AND b.event_time BETWEEN a.event_time AND a.event_time + INTERVAL 4 MINUTES
+        WHERE NOT a.repeated AND a.event_time IS NOT NULL AND (b.donation_id IS NOT NULL OR a.event_time + INTERVAL 4 MINUTES < (
+            SELECT least(max(event_time) FILTER (repeated), max(event_time) FILTER (NOT repeated)) - INTERVAL 1 HOUR FROM arrived))"""),
     "stream_ingest": _sql("SELECT * FROM live"),
 }

@@ -1,0 +1,121 @@
+import datetime as dt
+import json
+import time
+
+import pytest
+from helpers import rows
+
+from granary.sources import schemas
+from granary.streaming import ingest, keyed_state, windows
+
+BASE = dict(donation_id="E1", donor_id="D1", blood_bank_id="B1", camp_id=None, donation_date="2026-08-12", blood_group="A-",
+            units_donated=1, donation_status="Completed", event_time="2026-08-12T20:28:14", source="live", event_type="blood_donation")
+
+
+def land(folder, name, *changes):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / f"{name}.json").write_text("\n".join(json.dumps(BASE | change) for change in changes))
+
+
+@pytest.fixture
+def admit(spark, policy, tmp_path):
+    dims = (spark.createDataFrame([("D1", "A-")], "donor_id string, blood_group string"), spark.createDataFrame([("B1",)], "blood_bank_id string"),
+            spark.createDataFrame([("C1",)], "camp_id string"))
+
+    def run(keep_ms=None):
+        events = ingest.event_stream(spark, str(tmp_path / "landing"), 1, schemas.DONATION_EVENT, one_per_file=False)
+        query = keyed_state.admit_by_state(events, dims, policy, str(tmp_path / "out"), str(tmp_path / "checkpoint"), "by-state", keep_ms)
+        assert query.awaitTermination(120)
+        return rows(spark.read.parquet(str(tmp_path / "out")), "donation_id", "units_donated", "reject_reason")
+
+    return run
+
+
+DUPLICATE = keyed_state.DUPLICATE
+
+
+def test_one_event_per_id_is_admitted_within_and_across_batches_and_restarts(admit, tmp_path):
+    later, earlier = "2026-08-12T21:00:00", "2026-08-12T20:00:00"
+    land(tmp_path / "landing", "a", dict(event_time=later, units_donated=2), dict(event_time=earlier, units_donated=3), dict(event_time=earlier, units_donated=3),
+         dict(event_time="2026-08-12T19:00:00", units_donated=0), dict(event_time="2026-08-12T22:00:00", units_donated=0))
+    time.sleep(0.05)
+    land(tmp_path / "landing", "b", dict(donation_id="E2", donor_id="ghost"), dict(donation_id="E1", event_time="2026-08-12T01:00:00"))
+    first = admit()
+    assert first == sorted([("E1", 0, "Invalid units_donated"), ("E1", 0, DUPLICATE), ("E1", 1, DUPLICATE), ("E1", 2, DUPLICATE), ("E1", 3, DUPLICATE),
+                            ("E1", 3, None), ("E2", 1, "Unknown donor_id")], key=lambda t: [(v is not None, v) for v in t])
+    assert admit() == first  # nothing new
+    land(tmp_path / "landing", "c", dict(donation_id="E2"), dict(donation_id="E1", units_donated=0))
+    again = admit()
+    assert ("E2", 1, None) in again and again.count(("E1", 0, DUPLICATE)) == 2 and len(again) == 9
+    assert not (tmp_path / "out_ids").exists()
+
+
+def test_events_without_an_id_are_judged_by_the_rules_alone(admit, tmp_path):
+    land(tmp_path / "landing", "a", dict(donation_id=None), dict(donation_id=None, blood_bank_id=None))
+    assert admit() == [(None, 1, None), (None, 1, "Unknown blood_bank_id")]
+
+
+def test_an_id_is_forgotten_after_its_time_and_the_run_still_ends(admit, tmp_path):
+    land(tmp_path / "landing", "a", dict(event_time="2026-08-12T01:00:00"))
+    assert admit(keep_ms=1) == [("E1", 1, None)]
+    land(tmp_path / "landing", "b", dict(event_time="2026-08-12T02:00:00"))
+    assert admit(keep_ms=1) == [("E1", 1, None), ("E1", 1, None)]
+
+
+def test_settings_are_put_back(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    with keyed_state.state_settings(spark):
+        assert spark.conf.get(name) == keyed_state.ROCKSDB
+    assert spark.conf.get(name, None) == before
+
+
+EVENTS = "donation_id string, blood_group string, units_donated int, event_time timestamp_ntz"
+
+
+def at(day, hour=0, minute=0):
+    return dt.datetime(2026, 8, day, hour, minute)
+
+
+def streamed(spark, tmp_path, arrivals, start):
+    for arrival in arrivals:
+        spark.createDataFrame(arrival, EVENTS).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
+        query = start(spark.readStream.schema(EVENTS).json(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp"), "windows")
+        assert query.awaitTermination(120)
+    return query, spark.read.parquet(str(tmp_path / "out"))
+
+
+ARRIVALS = [
+    [("a", "A-", 1, at(1, 1)), ("b", "A-", 2, at(1, 5)), ("c", "O-", 4, at(2, 1)), ("d", "A-", 8, at(3, 0)), ("x", "A-", 99, None)],
+    [("e", "A-", 16, at(1, 2)), ("f", "A-", 32, at(2, 13)), ("g", "A-", 64, at(9))],
+]
+
+
+def test_windows_close_by_the_watermark_and_late_events_are_kept_apart(spark, tmp_path):
+    _, out = streamed(spark, tmp_path, ARRIVALS, lambda events, *to: windows.append_final(windows.tumbling(events, ["blood_group"], "12 hours", "1 day"), *to))
+    assert rows(out, "blood_group", "window_start", "events", "units") == [
+        ("A-", at(1), 2, 3), ("A-", at(2, 12), 1, 32), ("A-", at(3), 1, 8), ("O-", at(2), 1, 4)]
+    _, late = streamed(spark, tmp_path / "late", ARRIVALS, lambda events, *to: windows.divert_late(events, "12 hours", "1 day", *to))
+    assert rows(late, "donation_id", "low_water") == [("e", at(2))]
+
+
+def test_a_pause_ends_a_session(spark, tmp_path):
+    arrivals = [[("a", "A-", 1, at(1, 1)), ("b", "A-", 2, at(1, 3))], [("c", "A-", 4, at(1, 4)), ("d", "A-", 8, at(1, 9)), ("e", "O-", 16, at(9))]]
+    _, out = streamed(spark, tmp_path, arrivals, lambda events, *to: windows.append_final(windows.sessions(events, ["blood_group"], "4 hours", "1 day"), *to))
+    assert rows(out, "blood_group", "window_start", "window_end", "units") == [("A-", at(1, 1), at(1, 8), 7), ("A-", at(1, 9), at(1, 13), 8)]
+
+
+def test_follow_ups_within_the_bound_and_state_that_does_not_grow(spark, tmp_path):
+    def start(events, *to):
+        first = events.where("units_donated < 10").select("donation_id", "event_time")
+        later = events.where("units_donated >= 10").selectExpr("donation_id", "event_time as later_time", "units_donated as later_units")
+        return windows.append_final(windows.with_follow_up(first, later, "donation_id", "30 minutes", "1 hour"), *to)
+
+    def arrival(day):
+        single = [(f"{day}-{i}", "A-", 1, at(day, i % 20)) for i in range(40)]
+        return single + [(f"{day}-0", "A-", 10, at(day, 0, 20)), (f"{day}-1", "A-", 11, at(day, 3)), ("end", "A-", 12, at(day, 23)), ("end", "A-", 1, at(day, 23, 1))]
+
+    query, out = streamed(spark, tmp_path, [arrival(d) for d in (1, 2, 3)], start)
+    found = rows(out.where("donation_id like '2-%'"), "donation_id", "later_units")
+    assert len(found) == 40 and ("2-0", 10) in found and ("2-1", None) in found and ("2-39", None) in found
+    assert query.lastProgress.stateOperators[0].numRowsTotal <= 5
