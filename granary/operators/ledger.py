@@ -11,11 +11,14 @@ construction), not driver round trips.
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.functions import scores
 from granary.functions.bands import translate
+from granary.operators import timeline
 from granary.operators.keyed import side_by_side
 from granary.policy import Policy
 
@@ -243,26 +246,39 @@ def issue_list(ledger: DataFrame) -> DataFrame:
 def running_balance(ledger: DataFrame, policy: Policy) -> DataFrame:
     """Balance after every movement of a key, flagged where it falls below zero.
 
-    One key may hold a large part of the ledger, so the running sum is built per (key, day).
-    Each day's opening balance, summed over the far fewer day totals, is stacked in front of
-    that day's movements as one extra row; a window per (key, day) then carries it through.
+    One key, even on one day, may hold most of the ledger: see ``timeline.running_sum``. Movements that agree in
+    everything shown follow each other in any order.
     """
     signed = ledger.select(
-        *KEY, F.to_date(_AT).alias("_day"), F.lit(1).alias("_turn"), F.col(_AT), F.col("transaction_id"),
-        F.col(_TYPE), F.col("units"), scores.signed_units(F.col(_TYPE), F.col("units"), policy).alias("_signed"),
-    )
-    per_day = signed.groupBy(*KEY, "_day").agg(F.sum("_signed").alias("_moved"))
-    earlier = Window.partitionBy(*KEY).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    opening = per_day.select(
-        *KEY, "_day", F.lit(0).alias("_turn"), F.coalesce(F.sum("_moved").over(earlier), F.lit(0.0)).alias("_signed"),
-    )
-    within_day = Window.partitionBy(*KEY, "_day").orderBy("_turn", _AT, "transaction_id", _TYPE, "units").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    carried = signed.unionByName(opening, allowMissingColumns=True).withColumn(
-        "running_balance", F.sum("_signed").over(within_day)
+        *KEY, F.col(_AT), F.col("transaction_id"), F.col(_TYPE), F.col("units"), scores.signed_units(F.col(_TYPE), F.col("units"), policy).alias("_signed"),
     )
-    return carried.where("_turn = 1").select(
+    summed = timeline.running_sum(signed, KEY, [_AT, "transaction_id", _TYPE, "units"], "_signed", "running_balance")
+    return summed.select(
         *KEY, _AT, "transaction_id", _TYPE, "units", "running_balance",
         (F.col("running_balance") < 0).alias("below_zero"),
     )
+
+
+def closing_by_day(ledger: DataFrame, keys: Sequence[str], policy: Policy) -> DataFrame:
+    """Balance at the end of every day on which a key moved. Movements fold to days before they are shuffled."""
+    signed = scores.signed_units(F.col(_TYPE), F.col("units"), policy)
+    moved = ledger.groupBy(*keys, F.to_date(_AT).alias("day")).agg(F.sum(signed).alias("_moved"))
+    so_far = Window.partitionBy(*keys).orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return moved.select(*keys, "day", F.sum("_moved").over(so_far).alias("balance"))
+
+
+def lots(ledger: DataFrame, policy: Policy) -> DataFrame:
+    """Donated units as lots with the days (as numbers) on which they may be issued, the last one included."""
+    day = F.unix_date(F.to_date(_AT))
+    shelf = translate(F.col("component_type"), policy.shelf_days)
+    return ledger.where(F.col(_TYPE) == "DONATION").select(
+        *KEY, F.col("transaction_id").alias("lot_id"), F.col("units").alias("lot_units"), day.alias("fresh_from"), (day + shelf).alias("fresh_until"))
+
+
+def lots_at_issue(ledger: DataFrame, policy: Policy) -> DataFrame:
+    """For every issue the lots of its key that were fresh on its day: how many, how many units, the oldest."""
+    issues = ledger.where(F.col(_TYPE) == "ISSUE").select(*KEY, "transaction_id", F.unix_date(F.to_date(_AT)).alias("_day"))
+    met = timeline.within_intervals(issues, lots(ledger, policy), KEY, "_day", "fresh_from", "fresh_until")
+    return met.groupBy("transaction_id", *KEY, "_day").agg(
+        F.count(F.lit(1)).alias("fresh_lots"), F.sum("lot_units").alias("fresh_units"), F.min("fresh_from").alias("_oldest")).select(
+        "transaction_id", *KEY, F.date_from_unix_date("_day").alias("issue_date"), "fresh_lots", "fresh_units", F.date_from_unix_date("_oldest").alias("oldest_lot"))

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from granary.functions import flags, text
 from granary.functions.bands import label
-from granary.operators import activity, admission, board, checks, keyed, ledger, refine, stock, transfers
+from granary.operators import activity, admission, board, checks, keyed, ledger, refine, shapes, sketches, stock, timeline, transfers
 from granary.operators.shared_store import settle, shared_folder
 from granary.sources.files import with_lineage
 from granary.sources.star import LOST_BANK, NOWHERE, Star, as_donation_events
@@ -318,6 +318,19 @@ def ledger_keys_except(s: Star):
     return keyed.missing_keys(movements, stocked, ledger.KEY)
 
 
+@query
+def stock_at_donation(s: Star):
+    """Every donation with the last closing balance of its bank and group up to that day."""
+    closing = ledger.closing_by_day(s.ledger(), ["blood_bank_id", "blood_group"], s.policy)
+    given = s.donations().select("donation_id", "blood_bank_id", "blood_group", "donation_date")
+    return timeline.as_of(given, closing.withColumn("known_since", F.col("day")), ["blood_bank_id", "blood_group"], "donation_date", "day", ["known_since", "balance"])
+
+
+@query
+def lots_at_issue(s: Star):
+    return ledger.lots_at_issue(s.ledger(), s.policy)
+
+
 @query
 def running_balance(s: Star):
     return ledger.running_balance(s.ledger(), s.policy)
@@ -656,6 +669,97 @@ def topk_live_feed(s: Star):
     return board.live_feed(s.events(), s.policy)
 
 
+# ---- sketches, sets, runs, shapes ------------------------------------------------------------
+
+def _day_sketches(s: Star) -> tuple[DataFrame, DataFrame]:
+    """Donations, and their daily sketches as a stored table would hold them."""
+    given = settle(s.donations().select("donor_id", "blood_group", "donation_date", "units_donated"))
+    return given, settle(sketches.daily_sketches(given))
+
+
+@query
+def monthly_sketches(s: Star):
+    """Distinct donors and median units per month and group from merged daily sketches, held against the exact figures."""
+    return sketches.monthly_report(*_day_sketches(s))
+
+
+@query
+def returning_donors(s: Star):
+    """Donors who gave in two months in a row, exactly, and whether the intersected sketches say so."""
+    given, daily = _day_sketches(s)
+    months = given.where(F.col("donor_id").isNotNull()).select(F.trunc("donation_date", "month").alias("month"), "blood_group", "donor_id").distinct()
+    before = months.select(F.add_months("month", 1).alias("month"), "blood_group", "donor_id")
+    exact = months.join(before, ["month", "blood_group", "donor_id"], "left_semi").groupBy("month", "blood_group").agg(F.count(F.lit(1)).alias("returning_donors"))
+    named = sketches.returning_donors(daily)
+    all_sets = named.join(exact, ["month", "blood_group"], "left").withColumn("returning_donors", F.coalesce("returning_donors", F.lit(0)))
+    # The error of an intersection goes by the larger of the two sets, not by what they share.
+    return all_sets.select("month", "blood_group", "returning_donors", (F.abs(F.col("returning") - F.col("returning_donors")) <= 1 + 0.1 * F.col("returning_donors")).alias("near"))
+
+
+@query
+def ledger_cube(s: Star):
+    """Units in the ledger by place, group and component, in five groupings at once."""
+    moved = s.ledger().groupBy("blood_bank_id", "blood_group", "component_type").agg(F.sum("units").alias("units"), F.count(F.lit(1)).alias("movements"))
+    placed = keyed.attach(moved, s.banks(), {"blood_bank_id": "blood_bank_id"}, {"state": "state", "city": "city"})
+    sets = [["state", "city", "blood_group", "component_type"], ["state", "city"], ["state", "blood_group"], ["blood_group", "component_type"], []]
+    return shapes.totals_by_sets(placed, sets, {"units": "total_units", "movements": "movement_count"})
+
+
+@query
+def stock_outs(s: Star):
+    """Periods in which a bank's group closed every day without stock."""
+    closing = ledger.closing_by_day(s.ledger(), ["blood_bank_id", "blood_group"], s.policy)
+    return timeline.runs(closing, ["blood_bank_id", "blood_group"], "day", F.col("balance") <= 0)
+
+
+@query
+def donor_pauses(s: Star):
+    return timeline.pauses(s.donations().where(F.col("donor_id").isNotNull()), ["donor_id"], "donation_date", 90)
+
+
+@query
+def rolling_demand(s: Star):
+    """Units issued in the thirty days up to each day with an issue."""
+    issues = s.ledger().where(F.col("transaction_type") == "ISSUE").withColumn("_day", F.to_date("transaction_timestamp"))
+    return timeline.rolling(issues, ["blood_bank_id", "blood_group"], "_day", "units", "units_30_days", 30)
+
+
+def _posted_twice(s: Star) -> tuple[DataFrame, DataFrame]:
+    """The ledger, and one in which some movements are absent and others were written twice."""
+    posted = s.ledger().select("transaction_id", *ledger.KEY, "transaction_type", "units", "transaction_timestamp")
+    number = F.col("transaction_id")
+    times = F.when(number % 97 == 0, 0).when(number % 89 == 0, 2).otherwise(1)
+    return posted, posted.withColumn("_time", F.explode(F.sequence(F.lit(0), times))).where("_time > 0").drop("_time")
+
+
+@query
+def ledger_differences(s: Star):
+    return shapes.counted_difference(*_posted_twice(s))
+
+
+@query
+def ledger_in_common(s: Star):
+    """How many movements both ledgers hold, per type, counted with their copies."""
+    return shapes.in_common(*_posted_twice(s)).groupBy("transaction_type").agg(
+        F.count(F.lit(1)).alias("different_movements"), F.sum("both_count").alias("movements"))
+
+
+def _group_columns(s: Star) -> dict[str, str]:
+    return {g: f"units_{g.lower().replace('+', '_pos').replace('-', '_neg')}" for g in s.policy.groups}
+
+
+@query
+def stock_matrix(s: Star):
+    """Banks against groups; the groups are those of the policy."""
+    return shapes.wide(s.inventory(), ["blood_bank_id"], "blood_group", "available_units", _group_columns(s))
+
+
+@query
+def stock_matrix_lines(s: Star):
+    """The matrix as lines again."""
+    return shapes.tall(stock_matrix(s), ["blood_bank_id"], "blood_group", "available_units", _group_columns(s))
+
+
 # ---- streaming -------------------------------------------------------------------------------
 
 def _clocked(s: Star) -> DataFrame:

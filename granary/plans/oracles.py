@@ -468,6 +468,8 @@ _STREAMED = f"""SELECT donation_id, reason IS NULL AS admitted, reason AS reject
     SELECT donation_id, CASE WHEN repeated AND bool_or(NOT repeated AND fault IS NULL) OVER (PARTITION BY donation_id)
         THEN 'Duplicate donation_id' ELSE fault END AS reason
     FROM (SELECT e.donation_id, e.repeated, {_FAULT} AS fault {_FAULT_TABLES.replace('live', 'arrived')}))"""
+_POSTED = f"transaction_id, {_KEY}, transaction_type, units, transaction_timestamp"
+_MATRIX = {"A+": "a_pos", "A-": "a_neg", "B+": "b_pos", "B-": "b_neg", "AB+": "ab_pos", "AB-": "ab_neg", "O+": "o_pos", "O-": "o_neg"}
 _CLOCKED = "(SELECT *, event_time + to_seconds(donation_id % 13) AS _ingested_at FROM live)"
 _ROLLUP = """SELECT coalesce(section, 'OVERALL') AS section, CASE WHEN count(*) FILTER (status = 'FAIL') > 0 THEN 'FAIL'
         WHEN count(*) FILTER (status <> 'SKIPPED') = 0 THEN 'SKIPPED' ELSE 'PASS' END AS status,
@@ -618,6 +620,58 @@ ORACLES: dict[str, str] = {
         SELECT {_KEY}, transaction_timestamp, transaction_id, transaction_type, units, sum(delta) OVER (
             PARTITION BY {_KEY} ORDER BY transaction_timestamp, transaction_id, transaction_type, units
             ROWS UNBOUNDED PRECEDING) AS running_balance FROM signed)"""),
+    "stock_at_donation": _sql("""SELECT d.donation_id, d.blood_bank_id, d.blood_group, d.donation_date, c.day AS known_since, c.balance
+        FROM donations d ASOF LEFT JOIN (SELECT blood_bank_id, blood_group, day, sum(moved) OVER (
+            PARTITION BY blood_bank_id, blood_group ORDER BY day) AS balance FROM (
+            SELECT blood_bank_id, blood_group, CAST(transaction_timestamp AS DATE) AS day, sum(delta) AS moved FROM signed GROUP BY 1, 2, 3)) c
+        ON d.blood_bank_id = c.blood_bank_id AND d.blood_group = c.blood_group AND d.donation_date >= c.day"""),
+    "lots_at_issue": _sql(f"""SELECT i.transaction_id, i.blood_bank_id, i.blood_group, i.component_type, i.day AS issue_date,
+        count(*) AS fresh_lots, sum(l.units) AS fresh_units, min(l.day) AS oldest_lot
+        FROM (SELECT *, CAST(transaction_timestamp AS DATE) AS day FROM ledger WHERE transaction_type = 'ISSUE') i
+        JOIN (SELECT *, CAST(transaction_timestamp AS DATE) AS day FROM ledger WHERE transaction_type = 'DONATION') l
+        ON i.blood_bank_id = l.blood_bank_id AND i.blood_group = l.blood_group AND i.component_type = l.component_type
+            AND i.day BETWEEN l.day AND l.day + {_choose('l.component_type', _SHELF)}
+        GROUP BY 1, 2, 3, 4, 5"""),
+    "monthly_sketches": _sql("""SELECT CAST(date_trunc('month', donation_date) AS DATE) AS month, blood_group, count(DISTINCT donor_id) AS donors,
+        count(units_donated) AS donated_values, true AS hll_near, true AS theta_near, true AS all_values_seen, true AS median_near
+        FROM donations GROUP BY 1, 2"""),
+    "returning_donors": _sql("""SELECT m.month, m.blood_group, count(DISTINCT a.donor_id) AS returning_donors, true AS near
+        FROM (SELECT DISTINCT CAST(date_trunc('month', donation_date) AS DATE) AS month, blood_group FROM donations) m
+        JOIN (SELECT DISTINCT CAST(date_trunc('month', donation_date) + INTERVAL 1 MONTH AS DATE) AS month, blood_group FROM donations) p
+            ON m.month = p.month AND m.blood_group = p.blood_group
+        LEFT JOIN (SELECT DISTINCT CAST(date_trunc('month', x.donation_date) AS DATE) AS month, x.blood_group, x.donor_id
+            FROM donations x JOIN donations y ON x.donor_id = y.donor_id AND x.blood_group = y.blood_group
+                AND date_trunc('month', x.donation_date) = date_trunc('month', y.donation_date) + INTERVAL 1 MONTH) a
+            ON m.month = a.month AND m.blood_group = a.blood_group
+        GROUP BY 1, 2"""),
+    "ledger_cube": _sql("""SELECT state, city, blood_group, component_type, CAST(grouping(state, city, blood_group, component_type) AS INTEGER) AS grouping_id,
+        sum(units) AS total_units, count(*) AS movement_count FROM ledger LEFT JOIN banks USING (blood_bank_id)
+        GROUP BY GROUPING SETS ((state, city, blood_group, component_type), (state, city), (state, blood_group), (blood_group, component_type), ())"""),
+    "stock_outs": _sql("""SELECT blood_bank_id, blood_group, min(day) AS run_start, max(day) AS run_end, count(*) AS run_rows,
+            CASE WHEN bool_or(following IS NULL) THEN NULL ELSE max(following) END AS next_start
+        FROM (SELECT *, row_number() OVER (PARTITION BY blood_bank_id, blood_group ORDER BY day)
+                - row_number() OVER (PARTITION BY blood_bank_id, blood_group, balance <= 0 ORDER BY day) AS island,
+            CASE WHEN row_number() OVER (PARTITION BY blood_bank_id, blood_group ORDER BY day DESC) = 1 THEN NULL
+                ELSE lead(day) OVER (PARTITION BY blood_bank_id, blood_group ORDER BY day) END AS following
+            FROM (SELECT blood_bank_id, blood_group, day, sum(moved) OVER (PARTITION BY blood_bank_id, blood_group ORDER BY day) AS balance FROM (
+                SELECT blood_bank_id, blood_group, CAST(transaction_timestamp AS DATE) AS day, sum(delta) AS moved FROM signed GROUP BY 1, 2, 3)))
+        WHERE balance <= 0 GROUP BY blood_bank_id, blood_group, island"""),
+    "donor_pauses": _sql("""SELECT donor_id, last_day, next_day, CAST(next_day - last_day AS INTEGER) AS pause_days FROM (
+        SELECT donor_id, donation_date AS last_day, lead(donation_date) OVER (PARTITION BY donor_id ORDER BY donation_date) AS next_day
+        FROM (SELECT DISTINCT donor_id, donation_date FROM donations WHERE donor_id IS NOT NULL)) WHERE next_day - last_day >= 90"""),
+    "rolling_demand": _sql("""SELECT d.blood_bank_id, d.blood_group, d.day, sum(i.units) AS units_30_days
+        FROM (SELECT DISTINCT blood_bank_id, blood_group, CAST(transaction_timestamp AS DATE) AS day FROM ledger WHERE transaction_type = 'ISSUE') d
+        JOIN (SELECT *, CAST(transaction_timestamp AS DATE) AS issued FROM ledger WHERE transaction_type = 'ISSUE') i
+            ON d.blood_bank_id = i.blood_bank_id AND d.blood_group = i.blood_group AND i.issued BETWEEN d.day - 29 AND d.day
+        GROUP BY 1, 2, 3"""),
+    "ledger_differences": _sql(f"""SELECT *, left_count * CASE WHEN transaction_id % 97 = 0 THEN 0 ELSE 2 END AS right_count
+        FROM (SELECT {_POSTED}, count(*) AS left_count FROM ledger GROUP BY ALL) WHERE transaction_id % 97 = 0 OR transaction_id % 89 = 0"""),
+    "ledger_in_common": _sql(f"""SELECT transaction_type, count(*) AS different_movements, CAST(sum(n) AS BIGINT) AS movements FROM (
+        SELECT {_POSTED}, count(*) AS n FROM ledger WHERE transaction_id % 97 <> 0 GROUP BY ALL) GROUP BY 1"""),
+    "stock_matrix": _sql("SELECT blood_bank_id, " + ", ".join(
+        f"CAST(sum(CASE WHEN blood_group = '{g}' THEN available_units END) AS BIGINT) AS units_{c}" for g, c in _MATRIX.items()) + " FROM inventory GROUP BY 1"),
+    "stock_matrix_lines": _sql(f"""SELECT blood_bank_id, blood_group, CAST(sum(available_units) AS BIGINT) AS available_units
+        FROM inventory WHERE blood_group IN {_GROUPS} GROUP BY 1, 2 HAVING sum(available_units) IS NOT NULL"""),
     "post_donations": _sql(f"""SELECT 'D-' || donation_id || '-' || component_type AS transaction_id, {_KEY},
         'DONATION' AS transaction_type, CAST(units_donated AS DOUBLE) AS units,
         CAST(donation_date AS TIMESTAMP) AS transaction_timestamp, donation_id AS source_donation_id, 'POSTED' AS status
