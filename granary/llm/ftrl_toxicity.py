@@ -20,7 +20,6 @@ from granary.llm.wordhash import LETTERS, chain, word_hashes
 
 SAMPLE = 8_000
 BITS = 30
-RAREST = 3
 
 
 def buckets(text: str | None) -> np.ndarray:
@@ -56,13 +55,16 @@ class Model(NamedTuple):
         return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
 
 
-def fit(rows: list[np.ndarray], label: np.ndarray, how: Ftrl = Ftrl(), rarest: int = RAREST, seed: int = 5) -> Model:
-    """Online passes in a seeded order. Buckets seen in fewer than ``rarest`` rows would stay at zero
-    under L1 and are left out first. With one class or no rows the bias alone decides (0.5 if none)."""
+def fit(rows: list[np.ndarray], label: np.ndarray, how: Ftrl = Ftrl(), seed: int = 5) -> Model:
+    """Online passes in a seeded order. With one class or no rows the bias alone decides (0.5 if none).
+
+    While a weight is zero a row moves its sum by less than one in each pass, so buckets for which passes times
+    rows is no more than L1 stay at zero, and are left out first.
+    """
     if not len(label):
         return Model(np.empty(0, np.uint32), np.empty(0), 0.0)
     every, counts = np.unique(np.concatenate(rows), return_counts=True)
-    known = every[counts >= rarest]
+    known = every[how.passes * counts > how.l1]
     encoded = []
     for row in rows:
         at = np.minimum(np.searchsorted(known, row), max(len(known) - 1, 0))
@@ -92,8 +94,9 @@ def fit(rows: list[np.ndarray], label: np.ndarray, how: Ftrl = Ftrl(), rarest: i
 def _features(documents: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = lists_of([buckets(t).astype("<i4").tobytes() for t in batch.column("text").to_pylist()], pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), rows], ["doc_id", "label", "x"])
+            for part in slices(batch, "text"):
+                rows = lists_of([buckets(t).astype("<i4").tobytes() for t in part.column("text").to_pylist()], pa.int32())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), rows], ["doc_id", "label", "x"])
 
     return documents.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, x array<int>")
 
@@ -108,7 +111,7 @@ def learn(documents: DataFrame, labels: DataFrame, label: str = "toxic", bound:
 
 
 def score(documents: DataFrame, model: Model, key: str = "doc_id", text: str = "text", into: str = "score") -> DataFrame:
-    """``key`` and ``into`` (0 to 1) for every row; a NULL or empty text has only the bias."""
+    """``key`` and ``into`` (0 to 1) for every row, from its whole text, however long; a NULL or empty text has only the bias."""
     ship(documents.sparkSession)
     kind = documents.schema[key].dataType.simpleString()
 

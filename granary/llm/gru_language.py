@@ -8,26 +8,27 @@ backpropagation through time on windows of a bounded sample.
 
 from __future__ import annotations
 
-import re
 from typing import Iterator, NamedTuple, Sequence
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm.batches import fold_of, keep_rows, slices
 from granary.llm.shipping import ship
+from granary.operators.shared_store import settle
 
 WINDOW = 64
 HIDDEN = 6
 PADDING = 256
 TOGETHER = 1024
 UNDETERMINED = "und"
-# Bounds of the learning sample: languages (the most frequent), documents for each, characters of each.
-LANGUAGES, PER_LANGUAGE, EXCERPT = 64, 600, 768
+# Bounds of the learning sample: documents of each language and of all (every language has its share), characters of each.
+PER_LANGUAGE, SAMPLE, EXCERPT = 600, 38_400, 768
 
-_letter = re.compile(r"[^\W\d_]").search
+_letter = regex.compile(r"\p{L}").search
 
 
 class Network(NamedTuple):
@@ -195,24 +196,24 @@ def predict(model: Model, texts: Sequence[str | None]) -> tuple[list[str], list[
 
 
 def learn(documents: DataFrame, folds: int = 4, held_out: int = 2, per_language: int = PER_LANGUAGE, steps: int = 320) -> Model:
-    """Train on excerpts of at most ``per_language`` documents of each of the most frequent languages,
+    """Train on excerpts of at most ``per_language`` documents of every language, and of about SAMPLE in all,
     picked by a hash of the id outside the held-out fold. NULL languages, texts and ids teach nothing."""
     spark = documents.sparkSession
     ship(spark)
     known = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold_of("doc_id", folds) != held_out))
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    if not counts:
+    counts = settle(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
+    languages = tuple(sorted(r["lang"] for r in counts.select("lang").collect()))
+    if not languages:
         return Model(start(1), ())
-    languages = tuple(sorted(r["lang"] for r in counts))
-    share = F.lit(0.0)
-    for row in counts:
-        share = F.when(F.col("lang") == row["lang"], F.lit(min(1.0, per_language / row["n"]))).otherwise(share)
+    each = max(1, min(per_language, SAMPLE // len(languages)))
+    shares = counts.select(F.col("lang").alias("_lang"), F.least(F.lit(1.0), each / F.col("n")).alias("share"))
     dice = F.xxhash64(F.lit(17), F.col("doc_id"))
     span = F.length("text") - EXCERPT
     begin = F.when(span > 0, F.pmod(F.xxhash64(F.lit(19), F.col("doc_id")), span) + 1).otherwise(F.lit(1)).cast("int")
-    picked = known.where(F.pmod(dice, F.lit(1 << 20)) < share * (1 << 20)).select(
+    drawn = known.join(shares, known["lang"] == shares["_lang"]).where(F.pmod(dice, F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    picked = drawn.select(
         "lang", F.substring(F.col("text"), begin, F.lit(EXCERPT)).alias("piece"), dice.alias("dice"))
-    table = picked.orderBy("dice", "lang", "piece").limit(2 * per_language * len(languages)).toArrow()
+    table = picked.orderBy("dice", "lang", "piece").limit(2 * each * len(languages)).toArrow()
     rows, counts_ = cut([t.encode() for t in table.column("piece").to_pylist()])
     if not len(rows):
         return Model(start(1), ())

@@ -11,7 +11,7 @@ directory.
 from __future__ import annotations
 
 from functools import lru_cache
-from pathlib import Path
+from importlib import resources
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -43,6 +43,15 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    "ISC": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
+            "the above copyright notice and this permission notice appear in all copies.",),
+    "0BSD": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",),
+    "Zlib": ("This software is provided 'as-is', without any express or implied warranty.",
+             "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and "
+             "redistribute it freely, subject to the following restrictions:"),
+    "Unlicense": ("This is free and unencumbered software released into the public domain.",),
+    "EPL-2.0": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",),
+    "BSL-1.0": ("Distributed under the Boost Software License, Version 1.0.",),
     "CC0-1.0": ("To the extent possible under law, the author has waived all copyright; dedicated to the public domain under CC0 1.0.",),
 }
 
@@ -78,20 +87,25 @@ for _name, *_words in FAMILY:
 TEMPLATES["MIT"] = (*TEMPLATES["MIT"], MIT_GRANT)
 
 
+# Licences whose whole texts lie in the folder licences.
+FULL_TEXTS = ("Apache-2.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0")
+
+
 @lru_cache(maxsize=1)
 def whole_texts() -> dict[str, tuple[str, ...]]:
     """Whole headers and licence files by licence."""
     found = {n: (GNU_GRANT.format(*w) + GNU_REST.format(*w),) for n, *w in FAMILY}
     found |= {"MIT": (MIT_GRANT + MIT_REST,), "BSD-2-Clause": (BSD_TWO + BSD_REST,), "BSD-3-Clause": (BSD_TWO + BSD_THIRD + BSD_REST,)}
-    for path in sorted((Path(__file__).parent / "licences").glob("*.txt")):
-        found[path.stem] = (*found.get(path.stem, ()), path.read_text())
+    folder = resources.files("granary.llm") / "licences"
+    for name in FULL_TEXTS:  # also from a zip archive; a text that is absent is an error
+        found[name] = (*found.get(name, ()), (folder / f"{name}.txt").read_text())
     return found
 
 
 SPDX = "SPDX-License-Identifier:[ \\t]*([A-Za-z0-9.+() \\t-]*[A-Za-z0-9.+)])"
 COMMENT = "(?m)^[ \\t]*(?:<!--|/\\*+|\\*+/|\\*+|//+|#+|;+|--+|%+)?[ \\t]*|[ \\t]*(?:\\*+/|-->)[ \\t]*$"
 COMMENT_LINE = "^[ \\t]*(#|//|;|--|%|\\r?$)"
-CUE = "(?i)licen[sc]|permission is|redistribut|public domain|spdx"
+CUE = "(?i)licen[sc]|permission\\s+(is|to)|redistribut|public\\s+domain|spdx|as[ -]is\\b"
 LICENCE_FILE = "(?i)^(licen[sc]e|copying|unlicense)([._-][a-z0-9.]*)?$"
 LEAST_COSINE = 0.6
 WHOLE_COSINE = 0.85
@@ -121,7 +135,7 @@ def one_line(text: Column) -> Column:
 
 def sentences(documents: DataFrame, text: str = "text") -> DataFrame:
     """(_row, _piece): the distinct sentences of each whole text that mention licensing, by line and across wrapped lines."""
-    cue = documents.where(F.col(text).rlike(CUE.replace("permission is", "permission\\s+is")))
+    cue = documents.where(F.col(text).rlike(CUE))
     by_line = F.split(F.col(text), "\\n|(?<=[.!?])\\s+")
     across = F.transform(F.split(unwrapped(F.col(text)), "\\n\\s*\\n|(?<=[.!?])\\s+"), one_line)
     return cue.select("_row", F.explode(F.array_distinct(F.filter(F.concat(by_line, across), lambda p: p.rlike(CUE)))).alias("_piece"))
@@ -130,7 +144,7 @@ def sentences(documents: DataFrame, text: str = "text") -> DataFrame:
 def wholes(documents: DataFrame) -> DataFrame:
     """(_row, _words, _piece): the whole text of a licence file, the leading comment block of another, and its digest."""
     part = F.when(F.col("_file"), F.col("_text")).otherwise(header(F.col("_text")))
-    cue = documents.where(F.col("_text").rlike(CUE.replace("permission is", "permission\\s+is")))
+    cue = documents.where(F.col("_text").rlike(CUE))
     return cue.select("_row", one_line(unwrapped(part)).alias("_words")).where(F.col("_words").rlike(CUE)).withColumn("_piece", F.sha2("_words", 256))
 
 

@@ -127,3 +127,79 @@ def test_every_position_has_a_label():
     assert counts.tolist() == [1, 0, 3] and (rows != gru_language.PADDING).sum() == 133
     p = gru_language.label_positions(net, rows)
     assert p.shape == (gru_language.WINDOW, 4, 3) and np.allclose(p.sum(axis=2), 1, atol=1e-5)
+
+
+def test_numbers_and_signs_are_no_letters(spark):
+    model = gru_language.Model(gru_language.start(1), ("de",))
+    assert gru_language.predict(model, ["²½", "Ⅷ 12", "_", "a", "ß", "語", None])[0] == ["und", "und", "und", "de", "de", "de", "und"]
+    rows = spark.createDataFrame([(1, "²½", "de", "a", 2), (2, "wort", "de", "a", 4)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["doc_id"]: r["lang_pred"] for r in gru_language.identify(rows, model).collect()} == {1: "und", 2: "de"}
+
+
+def test_every_language_is_learned_within_the_bound(spark):
+    rows = [(i, f"wort{i % 80} text", f"l{i % 80:02}", "a", 9) for i in range(640)] + [(900, "einmal da", "zz", "a", 9)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    learned = {r[2] for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2}
+    assert len(learned) > 64 and set(gru_language.learn(frame, steps=1).languages) == learned
+
+
+def test_a_word_of_two_toxic_rows_has_a_weight():
+    texts = [f"w{i} w{i + 1} w{i + 2}" for i in range(200)]
+    texts[7] += " foul"
+    texts[90] += " foul"
+    label = np.array([int(i in (7, 90)) for i in range(200)])
+    model = ftrl_toxicity.fit([ftrl_toxicity.buckets(t) for t in texts], label)
+    foul = ftrl_toxicity.buckets("foul")
+    assert model.score(foul) > model.score(ftrl_toxicity.buckets("w1"))
+
+
+def plain_ftrl(texts, label, how, seed=5):
+    """FTRL-proximal by dictionaries of buckets, without leaving any out."""
+    z, n, weight = {}, {}, lambda k: 0.0 if k != "bias" and abs(z.get(k, 0)) <= how.l1 else -(
+        z.get(k, 0) - np.sign(z.get(k, 0)) * (0 if k == "bias" else how.l1)) / ((how.beta + np.sqrt(n.get(k, 0))) / how.alpha + how.l2)
+    rng = np.random.default_rng(seed)
+    for _ in range(how.passes):
+        for row in rng.permutation(len(texts)):
+            keys = [*ftrl_toxicity.buckets(texts[row]).tolist(), "bias"]
+            w = {k: weight(k) for k in keys}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - label[row]
+            for k in keys:
+                z[k] = z.get(k, 0) + g - (np.sqrt(n.get(k, 0) + g * g) - np.sqrt(n.get(k, 0))) / how.alpha * w[k]
+                n[k] = n.get(k, 0) + g * g
+    return {k: weight(k) for k in z if weight(k)}
+
+
+def test_ftrl_equals_a_plain_learner():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 30, 12)) for _ in range(120)]
+    label = np.array([int("w3" in t.split() or "w7" in t.split()) for t in texts])
+    how = ftrl_toxicity.Ftrl(l1=3.0, l2=0.5, passes=4)
+    model, expected = ftrl_toxicity.fit([ftrl_toxicity.buckets(t) for t in texts], label, how), plain_ftrl(texts, label, how)
+    assert model.bias == pytest.approx(expected.pop("bias")) and dict(zip(model.bucket.tolist(), model.weight)) == pytest.approx(expected)
+
+
+def test_toxicity_recall_on_held_out_rows(spark):
+    """Recall at 0.7 where enough rows are learned from."""
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where("toxic = 1").select("doc_id")
+    found = QUERIES["op5_ftrl_toxicity"](spark, folder).where("held_out").join(labels, "doc_id").collect()
+    assert np.mean([r["predicted"] for r in found]) >= 0.7
+
+
+def test_probabilities_equal_a_plain_forward_pass():
+    net, text = gru_language.start(3, 4), b"Zwei Worte"
+    logistic = lambda x: 1 / (1 + np.exp(-x))
+    seen = []
+    for way, order in ((0, range(len(text))), (1, reversed(range(len(text))))):
+        h, at = np.zeros(4), {}
+        for t in order:
+            z, r = np.split(logistic(net.gates[way][text[t]] + h @ net.gates_back[way]), 2)
+            c = np.tanh(net.candidate[way][text[t]] + r * (h @ net.candidate_back[way]))
+            h = at[t] = z * h + (1 - z) * c
+        seen.append(at)
+    score = [np.concatenate([seen[0][t], seen[1][t]]) @ net.out + net.bias for t in range(len(text))]
+    expected = [np.exp(s) / np.exp(s).sum() for s in score]
+    rows, _ = gru_language.cut([text])
+    assert np.allclose(gru_language.label_positions(net, rows)[:len(text), 0], expected, atol=1e-5)
+    names, scores = gru_language.predict(gru_language.Model(net, ("a", "b", "c")), [text.decode()])
+    assert scores[0] == pytest.approx(np.mean(expected, axis=0).max(), abs=1e-5) and names[0] == "abc"[int(np.mean(expected, axis=0).argmax())]

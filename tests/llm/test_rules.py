@@ -201,3 +201,26 @@ def test_wrapped_headers_identifiers_and_whole_files(spark):
     rows += [(f"f{k}/COPYING", t, n) for n, texts in scan.whole_texts().items() for k, t in enumerate(texts)]
     files = spark.createDataFrame([(f"d{i}/{p}", t, n) for i, (p, t, n) in enumerate(rows)], "path string, text string, want string")
     assert [(r["path"], r["licence"], r["want"]) for r in scan.scan(files).collect() if r["licence"] != r["want"]] == []
+
+
+def test_notices_without_the_word_licence(spark):
+    rows = [("isc.c", "/*\n" + wrapped(license_scan.TEMPLATES["ISC"][0], " * ") + "\n */", "ISC"), ("z.c", license_scan.TEMPLATES["Zlib"][0], "Zlib"),
+            ("u.c", "// This is free and unencumbered software released into the public domain.", "Unlicense"), ("plain.c", "// taken as is from the shelf", None)]
+    files = spark.createDataFrame([(f"d{i}/{p}", t, n) for i, (p, t, n) in enumerate(rows)], "path string, text string, want string")
+    assert [(r["path"], r["licence"]) for r in license_scan.scan(files).collect() if r["licence"] != r["want"]] == []
+
+
+def test_whole_texts_are_read_from_an_archive(tmp_path):
+    import subprocess
+    import sys
+    import zipfile
+    from pathlib import Path
+
+    root = Path(license_scan.__file__).parents[2]
+    with zipfile.ZipFile(tmp_path / "package.zip", "w") as out:
+        for path in (root / "granary").rglob("*"):
+            if path.suffix in (".py", ".txt"):
+                out.write(path, path.relative_to(root))
+    code = "from granary.llm import license_scan as s; print(s.__file__); assert set(s.FULL_TEXTS) <= set(s.whole_texts())"
+    done = subprocess.run([sys.executable, "-c", code], env={"PYTHONPATH": str(tmp_path / "package.zip"), "PATH": ""}, cwd=tmp_path, capture_output=True, text=True)
+    assert done.returncode == 0 and "package.zip" in done.stdout, done.stderr
