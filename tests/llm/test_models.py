@@ -189,12 +189,12 @@ def test_toxicity_recall_on_held_out_rows(spark):
 def test_probabilities_equal_a_plain_forward_pass():
     net, text = gru_language.start(3, 4), b"Zwei Worte"
     logistic = lambda x: 1 / (1 + np.exp(-x))
-    seen = []
-    for way, order in ((0, range(len(text))), (1, reversed(range(len(text))))):
+    seen, padded = [], [*text, *[gru_language.PADDING] * (gru_language.WINDOW - len(text))]  # the way back starts at the window's end
+    for way, order in ((0, range(len(padded))), (1, reversed(range(len(padded))))):
         h, at = np.zeros(4), {}
         for t in order:
-            z, r = np.split(logistic(net.gates[way][text[t]] + h @ net.gates_back[way]), 2)
-            c = np.tanh(net.candidate[way][text[t]] + r * (h @ net.candidate_back[way]))
+            z, r = np.split(logistic(net.gates[way][padded[t]] + h @ net.gates_back[way]), 2)
+            c = np.tanh(net.candidate[way][padded[t]] + r * (h @ net.candidate_back[way]))
             h = at[t] = z * h + (1 - z) * c
         seen.append(at)
     score = [np.concatenate([seen[0][t], seen[1][t]]) @ net.out + net.bias for t in range(len(text))]
