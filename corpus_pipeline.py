@@ -17,27 +17,47 @@ NEAR = hyperminhash.Rule(size=5, percent=80)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that the preference model scores below one half."""
+    """Rejects documents that the preference model scores below one half.
+
+    NULL and empty texts are scored like any other, long ones whole; repeated rows share their fate, all columns
+    stay and no rows give none.
+    """
     return pairwise_quality.keep(docs, pairwise_quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without letters and those that no learned language fits."""
+    """Rejects documents without letters (NULL and empty texts too) and those that no learned language fits.
+
+    Long texts are read whole; repeated rows share their fate, all columns stay and no rows give none.
+    """
     return gru_language.keep(docs, gru_language.learn(docs))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves one document of each group of near copies."""
+    """Leaves one document of each group of near copies, the one with the least doc_id.
+
+    NULL, empty and white texts are near nothing and stay, as do rows without doc_id; of rows that share a
+    doc_id the least stays. All columns stay (a column without an order, such as a map, ends the job with
+    Spark's error) and no rows give none.
+    """
     return hyperminhash.keep_one(docs, NEAR)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Copies or skips documents so that every source has an equal expected share; shuffled."""
-    return poisson_mix.replicate(docs, copy="_copy").drop("_copy")
+    """Copies or skips documents so that every source has an equal expected share; shuffled.
+
+    A NULL source is a source of its own; NULL ids and texts are drawn like others, repeated rows draw alike.
+    Exactly the columns that came are returned, whatever they are called; no rows give none.
+    """
+    return poisson_mix.replicate(docs).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, and proof that they decode to it."""
+    """Token ids of every text, and proof that they decode to it.
+
+    NULL and empty texts have no ids; long ones are encoded whole; repeated rows stay. This last stage
+    returns doc_id, lang, source and its own columns; others (text and n_chars too) are left behind.
+    """
     coded = byte_bpe.encode(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
                             decoded="decoded")
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
