@@ -82,15 +82,16 @@ def state_headline(state: DataFrame) -> DataFrame:
 
     The median reads the state again: pass a stored table.
     """
-    figures = state.agg(
-        F.sum("available_units").alias("total_units"),
-        F.count_distinct("blood_bank_id").alias("blood_banks"),
-        F.count_distinct("component_type").alias("component_types"),
-        F.count_if(F.col("priority_level") == "EMERGENCY").alias("emergency_lines"),
-        F.count_if(F.col("priority_level") == "CRITICAL").alias("critical_lines"),
-        F.count_if(F.col("expiry_status") == "EXPIRING_SOON").alias("expiring_soon_lines"),
-        F.count_if(F.col("expiry_status") == "EXPIRED").alias("expired_lines"),
-    )
+    counts = {
+        "emergency_lines": F.col("priority_level") == "EMERGENCY", "critical_lines": F.col("priority_level") == "CRITICAL",
+        "expiring_soon_lines": F.col("expiry_status") == "EXPIRING_SOON", "expired_lines": F.col("expiry_status") == "EXPIRED",
+    }
+    # Folded to (bank, component), so that few rows are expanded for the two distinct counts.
+    folded = state.groupBy("blood_bank_id", "component_type").agg(
+        F.sum("available_units").alias("total_units"), *[F.count_if(c).alias(name) for name, c in counts.items()])
+    figures = folded.agg(
+        F.sum("total_units").alias("total_units"), F.count_distinct("blood_bank_id").alias("blood_banks"),
+        F.count_distinct("component_type").alias("component_types"), *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counts])
     return figures.select("*", exact_median(state, "coverage_days").scalar().alias("median_coverage_days"))
 
 

@@ -166,8 +166,9 @@ def sizes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row: distinct known values per column."""
-    return df.agg(*[F.count_distinct(c).alias(c) for c in columns])
+    """One row: distinct known values per column. Rows fold to combinations first, so that only those are
+    expanded, once per column."""
+    return df.select(*columns).distinct().agg(*[F.count_distinct(c).alias(c) for c in columns])
 
 
 def latest_first(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:

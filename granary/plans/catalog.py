@@ -524,7 +524,8 @@ DAY = dt.date(1998, 6, 15)
 
 @query
 def kpis(s: Star):
-    inventory, donations = s.inventory(), s.donations()
+    # Each is read several times: derived once.
+    inventory, donations = settle(s.inventory()), settle(s.donations())
     return board.headline(
         stock.watch_summary(inventory, s.policy), stock.bank_stock(inventory, s.banks(), s.policy),
         activity.donor_pool(activity.donor_roster(donations, s.donors(), s.policy)),

@@ -141,3 +141,24 @@ def test_shuffle_width_follows_the_data():
 
     assert settings(GIB, 8)["spark.sql.shuffle.partitions"] == "16"
     assert int(settings(100 * 1024 * GIB, 8000)["spark.sql.shuffle.partitions"]) == 204800
+
+
+def test_a_report_replaces_the_old_one_and_a_torn_swap_is_mended(spark, tmp_path):
+    from granary.sources import files
+
+    path = str(tmp_path / "gold")
+    files.write_report(spark.range(3), path)
+    files.write_report(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 5 and {p.name for p in tmp_path.iterdir()} == {"gold"}
+    # The driver died after the old table had made room.
+    (tmp_path / "gold").rename(tmp_path / "gold.old")
+    failing = spark.range(2).selectExpr("raise_error('broken') as id")
+    try:
+        files.write_report(failing, path)
+    except Exception:
+        pass
+    else:
+        raise AssertionError("the write should have failed")
+    assert spark.read.parquet(path).count() == 5
+    files.write_report(spark.range(7), path)
+    assert spark.read.parquet(path).count() == 7
