@@ -23,6 +23,7 @@ HEADLINE = (
     "distribution", "bank_performance", "camp_performance", "donor_roster", "standardise_codes", "dedup", "union_dedup",
     "enrich", "ledger_balance", "demand", "stock_state", "running_balance", "transfers_valid", "transfer_pairs",
     "transfer_candidates", "event_admission", "orphans", "duplicates", "kpis", "enrichment_check", "layer_metrics", "gold_vs_silver",
+    "stock_at_donation", "lots_at_issue", "monthly_sketches", "ledger_cube", "ledger_differences",
 )
 WARM_UP = ("stock_state", "enrich", "bank_performance", "center_rank")
 
