@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+from urllib.parse import urlsplit
+
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; where that is unset, one inside the warehouse.
 
-    The rule does not look at the master: the warehouse of a session is storage that driver and
-    executors share, on a laptop as on a cluster.
+    A warehouse on the file system of one machine is refused on a cluster, whose executors would not see it.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
-        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if not context.master.startswith("local") and urlsplit(warehouse).scheme in ("", "file"):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors see; the warehouse is {warehouse}")
+        named = f"{warehouse}/_checkpoints"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named

@@ -14,6 +14,8 @@ from granary.functions import flags, text
 from granary.functions.bands import label
 from granary.operators import activity, admission, board, checks, keyed, ledger, refine, shapes, sketches, stock, timeline, transfers
 from granary.operators.shared_store import settle, shared_folder
+from granary.plans import landed, layers
+from granary.sources import files, schemas
 from granary.sources.files import with_lineage
 from granary.sources.star import LOST_BANK, NOWHERE, Star, as_donation_events
 from granary.streaming import ingest, keyed_state, windows
@@ -780,7 +782,7 @@ def ingest_lag(s: Star):
 
 
 def _run_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/stream-{uuid4().hex}"
+    return f"{shared_folder(spark).rstrip('/')}/run-{uuid4().hex}"
 
 
 def _event_files(s: Star) -> DataFrame:
@@ -789,18 +791,13 @@ def _event_files(s: Star) -> DataFrame:
     return reader.parquet(f"{s.folder}/event[s].parquet")
 
 
-def _land(rows: DataFrame, folder: str) -> None:
-    """Another arrival of JSON files, one object per line; equal ids come in one file."""
-    rows.repartition("donation_id").write.mode("append").option("timestampNTZFormat", ingest.EXACT_TIME).json(folder)
-
-
 @query
 def stream_admission(s: Star):
     """Events land as JSON files in two arrivals, repeats of an id in the second; a run admits each in several
     micro-batches, and the second run knows the first one's ids from the state store alone."""
     run, events = _run_folder(s.spark), as_donation_events(s.table("events"), F.col("event_id"))
     for arrival in (F.col("event_id") % 3 != 1, F.col("event_id") % 3 == 1):
-        _land(events.where(arrival).drop("event_id"), f"{run}/landing")
+        landed.land_events(events.where(arrival).drop("event_id"), f"{run}/landing")
         stream = ingest.event_stream(s.spark, f"{run}/landing", FILES_AT_ONCE, s.events().schema, one_per_file=False)
         ingest.drain(keyed_state.admit_by_state(stream, (s.donors(), s.banks(), s.camps()), s.policy, f"{run}/verdicts",
                                                 f"{run}/checkpoint", f"admission-{uuid4().hex}"))
@@ -821,7 +818,7 @@ def _streamed(s: Star, arrivals: list[DataFrame], start: Callable[[DataFrame, st
     checkpoint. Returns what the sink holds."""
     run = _run_folder(s.spark)
     for arrival in arrivals:
-        _land(arrival, f"{run}/landing")
+        landed.land_events(arrival, f"{run}/landing")
         stream = ingest.event_stream(s.spark, f"{run}/landing", schema=arrival.schema, one_per_file=False)
         ingest.drain(start(stream, f"{run}/sink", f"{run}/checkpoint", f"catalog-{uuid4().hex}"))
     return s.spark.read.parquet(f"{run}/sink")
@@ -875,3 +872,99 @@ def stream_ingest(s: Star):
     ingest.drain(ingest.append_sink(tagged, f"{run}/sink", f"{run}/checkpoint", f"ingest-{uuid4().hex}"))
     stored = s.spark.read.parquet(f"{run}/sink")
     return stored.drop("_ingested_at", "_source_file", "_ingestion_date")
+
+
+@query
+def stream_landing(s: Star):
+    """Events that land as JSON files in two arrivals, with lineage, in the append sink; the second run goes on where the
+    first one ended, and a third finds nothing new."""
+    run, events = _run_folder(s.spark), as_donation_events(s.table("events"), F.col("event_id"))
+    for arrival in (F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1, None):
+        if arrival is not None:
+            landed.land_events(events.where(arrival).drop("event_id"), f"{run}/landing")
+        live = ingest.event_stream(s.spark, f"{run}/landing", FILES_AT_ONCE, s.events().schema, one_per_file=False)
+        ingest.drain(ingest.append_sink(ingest.with_stream_lineage(live), f"{run}/sink", f"{run}/checkpoint", f"landing-{uuid4().hex}"))
+    stored = s.spark.read.parquet(f"{run}/sink")
+    return stored.select(
+        *s.events().columns, F.col("_source_file").rlike(r"/landing/[^/]+\.json$").alias("from_landing"),
+        (F.col("_ingestion_date") == F.to_date("_ingested_at")).alias("dated_by_its_clock"))
+
+
+@query
+def stream_progress(s: Star):
+    """Rows that each run of a stream read, from the stored log of its micro-batches."""
+    run, log = _run_folder(s.spark), ingest.ProgressLog()
+    s.spark.streams.addListener(log)
+    try:
+        for number, arrival in enumerate(_arrivals(s)):
+            landed.land_events(arrival, f"{run}/landing")
+            live = ingest.event_stream(s.spark, f"{run}/landing", FILES_AT_ONCE, arrival.schema, one_per_file=False)
+            stream = ingest.append_sink(live, f"{run}/sink", f"{run}/checkpoint", f"run {number}")
+            ingest.drain(stream)
+            log.store(s.spark, stream, f"{run}/progress")
+    finally:
+        s.spark.streams.removeListener(log)
+    return s.spark.read.parquet(f"{run}/progress").groupBy("query_name").agg(
+        F.sum("input_rows").alias("input_rows"), (F.count_distinct("batch_id") == F.count(F.lit(1))).alias("one_entry_per_batch"))
+
+
+# ---- files and layers ------------------------------------------------------------------------
+
+@query
+def bronze_round_trip(s: Star):
+    """Raw CSV tables into the first layer: rows read, rows stored, and stored rows without their lineage."""
+    lake = layers.Lake(_run_folder(s.spark))
+    landed.land_tables(s, lake)
+    counts = layers.run_bronze(s.spark, lake)
+
+    def unmarked(name: str) -> DataFrame:
+        stored = files.read_table(s.spark, lake.bronze(name), name, [*schemas.REQUIRED.get(name, []), *schemas.LINEAGE])
+        marked = F.coalesce((F.col("_source_file") == f"{name}.csv") & (F.col("_ingestion_date") == F.to_date("_ingested_at")), F.lit(False))
+        return stored.agg(F.lit(name).alias("table_name"), F.count_if(~marked).alias("unmarked_rows"))
+
+    return counts.join(checks.combined([unmarked(name) for name in schemas.RAW_TABLES]), "table_name")
+
+
+@query
+def ledger_from_csv(s: Star):
+    """Balances from the movement ledger as a CSV file."""
+    lake = layers.Lake(_run_folder(s.spark))
+    landed.land_movements(s, lake)
+    return ledger.balances(files.read_ledger(s.spark, lake.raw("inventory_transactions")), s.policy)
+
+
+@query
+def transfers_from_csv(s: Star):
+    """Validity of transfers that came as a CSV file, and of those of a lake that has no such file."""
+    lake, bare = (layers.Lake(_run_folder(s.spark)) for _ in range(2))
+    landed.land_movements(s, lake)
+
+    def counted(name: str, place: layers.Lake) -> DataFrame:
+        listed = files.read_optional_csv(s.spark, place.raw("blood_transfers"), schemas.TRANSFERS)
+        banks = s.banks().withColumn("blood_bank_id", F.col("blood_bank_id").cast("string"))
+        return transfers.validity_counts(transfers.checked(listed, banks)).select(F.lit(name).alias("lake"), "*")
+
+    return checks.combined([counted("with transfers", lake), counted("without", bare)])
+
+
+@query
+def silver_metrics(s: Star):
+    """Layer counts as the second layer stores them: raw CSV and JSON events, through both layers."""
+    lake = layers.Lake(_run_folder(s.spark))
+    landed.land_tables(s, lake)
+    landed.land_events(s.events(), lake.landing())
+    layers.run_bronze(s.spark, lake)
+    layers.run_stream(s.spark, lake, one_per_file=False)
+    return layers.run_silver(s.spark, lake, s.policy)
+
+
+@query
+def layered_job(s: Star):
+    """The whole job from raw files to published tables; what its stored checks say about tables, keys, scales and stream."""
+    lake = layers.Lake(_run_folder(s.spark))
+    landed.land_tables(s, lake)
+    landed.land_movements(s, lake)
+    landed.land_events(s.events(), lake.landing())
+    layers.run_all(s.spark, lake, s.policy, one_per_file=False)
+    report = s.spark.read.schema(checks.SHAPE).json(lake.report())
+    return report.where(F.col("section").isin("bronze", "silver", "gold", "duplicates", "boundaries", "streaming")).drop("detail")

@@ -52,9 +52,9 @@ def run_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
     ])
 
 
-def run_stream(spark: SparkSession, lake: Lake) -> None:
+def run_stream(spark: SparkSession, lake: Lake, one_per_file: bool = True) -> None:
     """Drain the landing folder into the append-only stream table."""
-    events = ingest.with_stream_lineage(ingest.event_stream(spark, lake.landing()))
+    events = ingest.with_stream_lineage(ingest.event_stream(spark, lake.landing(), one_per_file=one_per_file))
     ingest.drain(ingest.append_sink(events, lake.bronze("streaming_donations"), lake.checkpoint(), "donation-ingest"))
 
 
@@ -63,8 +63,8 @@ def run_silver(spark: SparkSession, lake: Lake, policy: Policy = DEFAULT_POLICY)
     def bronze(name: str) -> DataFrame:
         return files.read_table(spark, lake.bronze(name), name)
 
-    def stored(name: str, df: DataFrame, *days: str) -> DataFrame:
-        files.write_table(df, lake.silver(name), days)
+    def stored(name: str, df: DataFrame, *order: str) -> DataFrame:
+        files.write_table(df, lake.silver(name), order)
         return spark.read.parquet(lake.silver(name))
 
     donors = stored("donors", refine.donors(bronze("donors"), policy))
@@ -77,8 +77,8 @@ def run_silver(spark: SparkSession, lake: Lake, policy: Policy = DEFAULT_POLICY)
     parts = refine.combine(
         refine.donations(batch, policy), None if live is None else refine.donations(live, policy, batch=False)
     )
-    donations = stored("donations", refine.with_quality(refine.dedupe_donations(parts), policy), "donation_date")
-    enriched = stored("enriched_donations", refine.enrich(donations, donors, banks, camps, inventory), "donation_date")
+    donations = stored("donations", refine.with_quality(refine.dedupe_donations(parts), policy), "donation_date", "donation_id")
+    enriched = stored("enriched_donations", refine.enrich(donations, donors, banks, camps, inventory), "donation_date", "donation_id")
     return stored("data_quality", refine.layer_metrics(batch, live, enriched))
 
 
@@ -209,12 +209,12 @@ def run_checks(spark: SparkSession, lake: Lake, policy: Policy = DEFAULT_POLICY)
     return spark.read.schema(checks.SHAPE).json(lake.report())
 
 
-def run_all(spark: SparkSession, lake: Lake, policy: Policy = DEFAULT_POLICY, with_stream: bool = True) -> DataFrame:
-    """Every stage in order; returns the status per section and overall."""
+def run_all(spark: SparkSession, lake: Lake, policy: Policy = DEFAULT_POLICY, with_stream: bool = True, one_per_file: bool = True) -> DataFrame:
+    """Every stage in order; returns the status per section and overall. ``one_per_file`` says how events land."""
     counts = run_bronze(spark, lake)
     files.write_checks(checks.ingest_round_trip(counts), f"{lake.root}/validation/ingest")
     if with_stream:
-        run_stream(spark, lake)
+        run_stream(spark, lake, one_per_file)
     run_silver(spark, lake, policy)
     run_gold(spark, lake, policy)
     run_ledger(spark, lake, policy)

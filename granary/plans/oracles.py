@@ -378,6 +378,8 @@ _BLOCKS: dict[str, str] = {
                CAST(value AS BIGINT) AS value, CAST(NULL AS VARCHAR) AS detail
         FROM @checks@""",
 }
+# Ids of files are texts, and so is their order.
+_BLOCKS["filed_unique"] = re.sub(r"\b(donor_id|blood_bank_id|camp_id) NULLS FIRST", r"CAST(\1 AS VARCHAR) NULLS FIRST", _BLOCKS["mixed_unique"])
 _BLOCKS["arrived"] = _BLOCKS["live"].replace("SELECT ", "SELECT event_id, ts, event_id % 3 = 1 AS repeated, ", 1)
 
 
@@ -495,6 +497,45 @@ def _final(time: str, astray: bool) -> str:
 
 _SIX_HOURS = "time_bucket(INTERVAL 6 HOURS, event_time, TIMESTAMP '1970-01-01')"
 
+_METRICS = """SELECT (SELECT count(*) FROM lineitem) AS historical_donations,
+        (SELECT count(*) FROM events) AS streaming_donations,
+        (SELECT count(*) FROM lineitem) + (SELECT count(*) FROM events) AS combined_donations,
+        (SELECT count(*) FROM lineitem) + (SELECT count(*) FROM events) - (SELECT count(*) FROM mixed_unique)
+            AS duplicates_removed,
+        valid_donations, records_requiring_review, rare_blood_donations, missing_donor_matches,
+        missing_blood_bank_matches, missing_inventory_matches
+        FROM (SELECT count(*) FILTER (q.overall_data_quality_status = 'VALID') AS valid_donations,
+                     count(*) FILTER (q.overall_data_quality_status = 'REVIEW') AS records_requiring_review,
+                     count(*) FILTER (q.is_rare_blood) AS rare_blood_donations FROM flagged q),
+             (SELECT count(*) FILTER (NOT donor_exists) AS missing_donor_matches,
+                     count(*) FILTER (NOT blood_bank_exists) AS missing_blood_bank_matches,
+                     count(*) FILTER (NOT inventory_record_exists) AS missing_inventory_matches FROM wide)"""
+_RAW = {"donors": "donors", "blood_banks": "banks", "blood_inventory": "inventory", "donation_camps": "camps", "donations": "raw_donations"}
+# Rows of the published tables; none of the counts of banks, camps and donors depends on which copy of a donation is kept.
+_PUBLISHED = {
+    "daily_donation_summary": "(SELECT DISTINCT donation_date FROM filed_unique WHERE donation_status = 'Completed')",
+    "monthly_donation_summary": "(SELECT DISTINCT year(donation_date), month(donation_date) FROM filed_unique WHERE donation_status = 'Completed')",
+    "blood_group_distribution": "(SELECT DISTINCT blood_group FROM filed_unique WHERE donation_status = 'Completed')",
+    "rare_blood_availability": "watch_stock", "rare_blood_summary": "(SELECT DISTINCT blood_group FROM watch_stock)",
+    "blood_shortage_report": "(SELECT DISTINCT blood_group FROM watch_stock)", "blood_bank_rare_stock": "watch_stock",
+    "city_blood_availability": "(SELECT DISTINCT city, state, blood_group FROM watch_stock)",
+    "blood_bank_performance": "banks", "donation_camp_performance": "camps", "donor_summary": "donors",
+    "rare_donor_summary": f"(SELECT DISTINCT blood_group FROM donors WHERE blood_group IN {_WATCH})",
+}
+_JOB = " UNION ALL ".join([
+    *[f"SELECT 'bronze' AS section, '{name}.rows' AS check_name, 'PASS' AS status, count(*) AS value FROM {block}" for name, block in _RAW.items()],
+    *[f"SELECT 'bronze', '{name}.null_ingested_at', 'PASS', 0" for name in _RAW],
+    *[f"SELECT 'silver', '{name}', 'PASS', NULL" for name in (*_RAW, "enriched_donations")],
+    *[f"SELECT 'duplicates', '{key}', 'PASS', 0" for key in ("donor_id", "blood_bank_id", "inventory_id", "camp_id", "donation_id")],
+    *[f"SELECT 'boundaries', 'units {units}', 'PASS', {units}" for units in (0, 4, 5, 9, 10, 11)],
+    *[f"SELECT 'gold', '{name}.rows', 'PASS', count(*) FROM {rows}" for name, rows in _PUBLISHED.items()],
+    "SELECT 'streaming', 'checkpoint', 'PASS', NULL",
+    "SELECT 'streaming', 'events', 'PASS', count(*) FROM live", "SELECT 'streaming', 'null_ids', 'PASS', 0",
+    """SELECT 'streaming', 'null_event_times', CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END, count(*) FROM live WHERE event_time IS NULL""",
+    """SELECT 'streaming', 'duplicate_ids', CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END, count(*)
+        FROM (SELECT donation_id FROM live GROUP BY 1 HAVING count(*) > 1)""",
+])
+
 ORACLES: dict[str, str] = {
     # stock
     "stock_summary": _sql("""SELECT blood_group, CAST(sum(available_units) AS BIGINT) AS total_available_units,
@@ -586,20 +627,7 @@ ORACLES: dict[str, str] = {
     "union_align": _sql("SELECT * FROM mixed"),
     "union_dedup": _sql("SELECT * FROM mixed_unique"),
     "enrich": _sql("SELECT * FROM wide", facts="donations"),
-    "layer_metrics": _sql("""SELECT (SELECT count(*) FROM lineitem) AS historical_donations,
-        (SELECT count(*) FROM events) AS streaming_donations,
-        (SELECT count(*) FROM lineitem) + (SELECT count(*) FROM events) AS combined_donations,
-        (SELECT count(*) FROM lineitem) + (SELECT count(*) FROM events) - (SELECT count(*) FROM mixed_unique)
-            AS duplicates_removed,
-        valid_donations, records_requiring_review, rare_blood_donations, missing_donor_matches,
-        missing_blood_bank_matches, missing_inventory_matches
-        FROM (SELECT count(*) FILTER (q.overall_data_quality_status = 'VALID') AS valid_donations,
-                     count(*) FILTER (q.overall_data_quality_status = 'REVIEW') AS records_requiring_review,
-                     count(*) FILTER (q.is_rare_blood) AS rare_blood_donations FROM flagged q),
-             (SELECT count(*) FILTER (NOT donor_exists) AS missing_donor_matches,
-                     count(*) FILTER (NOT blood_bank_exists) AS missing_blood_bank_matches,
-                     count(*) FILTER (NOT inventory_record_exists) AS missing_inventory_matches FROM wide)""",
-        facts="mixed_unique"),
+    "layer_metrics": _sql(_METRICS, facts="mixed_unique"),
     # ledger
     "ledger_balance": _sql("SELECT * FROM balances"),
     "expiry": _sql("SELECT * EXCLUDE (days_left) FROM aged"),
@@ -875,4 +903,17 @@ ORACLES: dict[str, str] = {
         WHERE NOT a.repeated AND a.event_time IS NOT NULL AND (b.donation_id IS NOT NULL OR a.event_time + INTERVAL 4 MINUTES < (
             SELECT least(max(event_time) FILTER (repeated), max(event_time) FILTER (NOT repeated)) - INTERVAL 1 HOUR FROM arrived))"""),
     "stream_ingest": _sql("SELECT * FROM live"),
+    # files and layers
+    "stream_landing": _sql("SELECT *, true AS from_landing, true AS dated_by_its_clock FROM live"),
+    "stream_progress": _sql("""SELECT CASE WHEN event_id <= (SELECT max(event_id) // 2 FROM events) THEN 'run 0' ELSE 'run 1' END AS query_name,
+        count(*) AS input_rows, true AS one_entry_per_batch FROM events GROUP BY 1"""),
+    "bronze_round_trip": _sql(" UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS raw_rows, count(*) AS stored_rows, CAST(0 AS BIGINT) AS unmarked_rows FROM {block}"
+        for name, block in _RAW.items())),
+    "ledger_from_csv": _sql("SELECT * REPLACE (CAST(blood_bank_id AS VARCHAR) AS blood_bank_id) FROM balances"),
+    "transfers_from_csv": _sql("""SELECT 'with transfers' AS lake, count(*) AS transfers, count(*) FILTER (is_valid) AS valid_transfers,
+        count(*) FILTER (NOT is_valid) AS invalid_transfers, count(*) FILTER (is_valid IS NULL) AS undecided_transfers FROM checked_moves
+        UNION ALL SELECT 'without', 0, 0, 0, 0"""),
+    "silver_metrics": _sql(_METRICS, facts="filed_unique"),
+    "layered_job": _sql(_JOB),
 }

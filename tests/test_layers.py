@@ -162,3 +162,18 @@ def test_a_report_replaces_the_old_one_and_a_torn_swap_is_mended(spark, tmp_path
     assert spark.read.parquet(path).count() == 5
     files.write_report(spark.range(7), path)
     assert spark.read.parquet(path).count() == 7
+
+
+def test_an_ordered_table_skips_files_by_their_bounds(spark, conf, tmp_path):
+    """Rows lie in few files by day, one day that holds most rows in several of them; a filter reaches the scan."""
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    path = str(tmp_path / "gifts")
+    day = "date_add(date'2026-01-01', if(id % 10 < 9, 40, cast(id % 100 as int)))"
+    gifts = spark.range(8000).selectExpr(f"{day} as day", "id as key")
+    files.write_table(gifts, path, ["day", "key"])
+    spans = spark.read.parquet(path).groupBy("_metadata.file_path").agg({"day": "min", "key": "count"}).collect()
+    assert 2 <= len(spans) <= 4 and max(r["count(key)"] for r in spans) < 4000
+    assert len({r["min(day)"] for r in spans}) < len(spans) or len(spans) < 3  # the large day goes on in another file
+    one_day = spark.read.parquet(path).where("day = date'2026-01-10'")
+    assert "PushedFilters: [IsNotNull(day), EqualTo(day," in one_day._jdf.queryExecution().executedPlan().toString()
+    assert one_day.count() == gifts.where("day = date'2026-01-10'").count() > 0

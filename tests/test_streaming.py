@@ -136,3 +136,41 @@ def test_replayed_batch_leaves_one_verdict(spark, tmp_path, policy):
             str(tmp_path / f"checkpoint{run_}"), f"replay{run_}"))
         counts = (spark.read.parquet(admitted).count(), spark.read.parquet(rejected).count(), spark.read.parquet(f"{admitted}_ids").count() if not run_ else 0)
         assert counts == ((2, 0, 2), (0, 2, 0))[run_]
+
+
+def test_stored_progress_leaves_the_driver_and_adds_up(spark, tmp_path):
+    log = ingest.ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        for n, name in enumerate(("one", "two", "three")):
+            drop(tmp_path / "landing", name, donation_id=name)
+            events = ingest.with_stream_lineage(ingest.event_stream(spark, str(tmp_path / "landing")))
+            query = ingest.append_sink(events, str(tmp_path / "sink"), str(tmp_path / "checkpoint"), f"progress-{n}")
+            ingest.drain(query)
+            log.store(spark, query, str(tmp_path / "progress"))
+            assert not log.entries and not log._ended
+    finally:
+        spark.streams.removeListener(log)
+    stored = spark.read.parquet(str(tmp_path / "progress"))
+    assert rows(stored.where("input_rows > 0"), "query_name", "batch_id", "input_rows") == [(f"progress-{n}", n, 1) for n in range(3)]
+
+
+def test_a_warehouse_of_one_machine_is_refused_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from granary.operators.shared_store import shared_folder
+
+    def session(master, warehouse, named=None):
+        folders = [named]
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: folders[0], setCheckpointDir=lambda f: folders.__setitem__(0, f))
+        options = {"spark.sql.warehouse.dir": warehouse}
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default=None: options.get(key, default)))
+
+    for warehouse in ("file:/home/me/spark-warehouse", "/home/me/spark-warehouse"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(session("yarn", warehouse))
+        assert shared_folder(session("local[8]", warehouse)) == f"{warehouse}/_checkpoints"
+        assert shared_folder(session("yarn", warehouse, "hdfs:///shared")) == "hdfs:///shared"
+    assert shared_folder(session("yarn", "hdfs:///warehouse")) == "hdfs:///warehouse/_checkpoints"
