@@ -11,13 +11,17 @@ from pyspark.sql import functions as F
 from granary.llm.batches import fold_of
 
 
+# Up to this many sampled ids (two numbers each) are sent to all tasks; a larger sample meets the documents in a shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
 def labelled_features(documents: DataFrame, labels: DataFrame, label: str, features: Callable[[DataFrame], DataFrame], bound: int,
                       folds: int = 3, held_out: int = 1) -> pa.Table:
     """(label, features) of at most ``bound`` labelled documents outside the held-out fold.
 
     The label rows with the smallest hashes are taken, so the sample is the same on every run and does
-    not depend on the layout. Rows with a NULL id or label teach nothing. The sampled ids are at most
-    ``bound`` small rows, which is why they may be broadcast; ``features`` maps (doc_id, text, label) to
+    not depend on the layout. Rows with a NULL id or label teach nothing. Up to
+    ``BROADCAST_ROWS`` sampled ids are broadcast; ``features`` maps (doc_id, text, label) to
     the columns to be learned from and runs in tasks.
     """
     fold = fold_of("doc_id", folds)
@@ -25,5 +29,6 @@ def labelled_features(documents: DataFrame, labels: DataFrame, label: str, featu
         F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     order = F.xxhash64(F.col("doc_id"), F.lit(7))
     picked = rows.orderBy(order, "doc_id", "label").limit(bound)
-    joined = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id")
+    known = F.broadcast(picked) if bound <= BROADCAST_ROWS else picked
+    joined = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known, "doc_id")
     return features(joined).orderBy(order, "doc_id", "label").limit(bound).toArrow()

@@ -203,3 +203,39 @@ def test_probabilities_equal_a_plain_forward_pass():
     assert np.allclose(gru_language.label_positions(net, rows)[:len(text), 0], expected, atol=1e-5)
     names, scores = gru_language.predict(gru_language.Model(net, ("a", "b", "c")), [text.decode()])
     assert scores[0] == pytest.approx(np.mean(expected, axis=0).max(), abs=1e-5) and names[0] == "abc"[int(np.mean(expected, axis=0).argmax())]
+
+
+def test_preferences_equal_plain_pairs():
+    """The fit without written pairs against gradient descent on the differences of all pairs."""
+    rng = np.random.default_rng(4)
+    z = rng.normal(size=(60, 4))
+    label = (z @ [1.0, -1.0, 0.5, 0.0] + rng.normal(size=60) > 0.3).astype(int)
+    drawn, ridge = pairwise_quality.draw_opponents(label, 3), np.array([0.01, 0.02, 0.1, 0.1])
+    assert all(label[j] != label[i] for i in range(60) for j in drawn[i])
+    difference = np.array([(z[i] - z[j]) * (1 if label[i] else -1) for i in range(60) for j in drawn[i]])
+    w = np.zeros(4)
+    for _ in range(20_000):
+        w += 0.2 * (difference.T @ (1 / (1 + np.exp(difference @ w))) / len(difference) - ridge * w)
+    assert pairwise_quality.prefer(z, label, drawn, ridge) == pytest.approx(w, abs=1e-6)
+
+
+def test_wording_counts_every_triple(monkeypatch):
+    raw = "äb cäb c".encode()
+    plain = np.zeros(pairwise_quality.BUCKETS, int)
+    for at in range(len(raw) - 2):
+        code = (raw[at] << 16 | raw[at + 1] << 8 | raw[at + 2]) * 2654435769 % 2**32
+        plain[code >> 32 - 7] += 1
+    monkeypatch.setattr(pairwise_quality, "_CHUNK", 3)
+    assert pairwise_quality.BUCKETS == 2**7 and pairwise_quality._triples(raw).tolist() == plain.tolist()
+    assert all(len(pairwise_quality.describe(t)) == len(pairwise_quality.NAMES) for t in (None, "", "a", "a b"))
+
+
+def test_quality_is_learned_from_wording_alone():
+    """Good and bad texts of one shape, told apart only by their words."""
+    rng = np.random.default_rng(6)
+    label = np.arange(400) % 2
+    texts = [" ".join(f"{'mod' if y else 'neb'}{i:02}" if rng.random() < 0.3 else f"wor{i:02}" for i in rng.integers(0, 40, 60)) for y in label]
+    x = np.array([pairwise_quality.describe(t) for t in texts])
+    ridge = np.where(np.arange(x.shape[1]) < len(pairwise_quality.STATISTICS), pairwise_quality.RIDGE, pairwise_quality.BUCKET_RIDGE)
+    score = pairwise_quality.fit(x[:300], label[:300], ridge=ridge).score(x[300:])
+    assert area(score, label[300:] == 1) > 0.95
