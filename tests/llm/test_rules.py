@@ -86,6 +86,69 @@ def test_rules_are_learned_and_ordered(spark):
     assert dl.judge(dl.statistics(empty(spark)), rules).count() == 0
 
 
+def plain_rules(rows, limits=dl.Limits()):
+    """Sequential covering by counting every condition over lists of rows."""
+    names = list(dl.features())
+    cuts = {f: sorted({sorted(r[f] for r in rows)[max(math.ceil(q * len(rows)), 1) - 1] for q in dl.QUANTILES}) for f in names}
+
+    def holds(rule, row):
+        return all((row[f] > cut) == above for f, above, cut in rule)
+
+    def counts(rule, some):
+        covered = [r["_bad"] for r in some if holds(rule, r)]
+        return sum(covered), len(covered) - sum(covered)
+
+    found = []
+    while len(found) < limits.rules:
+        rule, inside = (), [r for r in rows if r["_grows"]]
+        while len(rule) < limits.conditions and all(counts((), inside)):
+            all_p, all_n = counts((), inside)
+            best, most = None, 1e-9
+            for option in [(f, above, cut) for f in names for cut in cuts[f] for above in (False, True)]:
+                p, n = counts((option,), inside)
+                gain = p * (math.log2(p / (p + n)) - math.log2(all_p / (all_p + all_n))) if p else 0.0
+                if gain > most:
+                    best, most = option, gain
+            if best is None:
+                break
+            f, above, cut = best
+            low, high = [r[f] for r in inside if r[f] <= cut], [r[f] for r in inside if r[f] > cut]
+            rule += ((f, above, (max(low) + min(high)) / 2 if low and high else cut),)
+            inside = [r for r in inside if holds(rule, r)]
+        if not rule:
+            break
+        tried = [((p - n) / (p + n) if p + n else -1.0, -k, p, n) for k in range(1, len(rule) + 1)
+                 for p, n in [counts(rule[:k], [r for r in rows if not r["_grows"]])]]
+        _, k, p, n = max(tried)
+        if p < limits.covered or p < limits.precision * (p + n):
+            break
+        found.append(rule[:-k])
+        rows = [r for r in rows if not holds(rule[:-k], r)]
+    return found
+
+
+def test_rules_equal_plain_covering(spark):
+    rng = np.random.default_rng(5)
+    texts = []
+    for i in range(500):
+        words = [f"w{k}" for k in rng.integers(0, 400, rng.integers(30, 120))]
+        kind = i % 7
+        words = [w + "$" * 3 if kind == 0 and rng.random() < 0.6 else w.upper() if kind == 1 and rng.random() < 0.7 else w for w in words]
+        texts.append((i, (" | " if kind == 2 else " ").join(words), None, None, 0, int(kind > 2) if rng.random() > 0.04 else int(kind <= 2)))
+    frame = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long, quality int")
+    stats = dl.statistics(frame)
+    rules = dl.learn(stats, frame.select("doc_id", "quality"))
+    learned = stats.where(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) != 1)
+    rows = [r.asDict() for r in learned.select(*[v.alias(n) for n, v in dl.features().items()], (F.col("quality") == 0).alias("_bad"),
+                                                   (F.pmod(F.xxhash64("doc_id"), F.lit(3)) > 0).alias("_grows")).collect()]
+    expected = plain_rules(rows)
+    assert len(rules) >= 2 and [[(c.feature, c.above, pytest.approx(c.cut)) for c in r.conditions] for r in rules] == [list(r) for r in expected]
+    judged = dl.judge(stats, rules).select("kept", "base_failed", *[v.alias(f"_{n}") for n, v in dl.features().items()]).collect()
+    for row in judged:
+        rejected = any(all((row[f"_{f}"] > cut) == above for f, above, cut in rule) for rule in expected)
+        assert row["kept"] == (not row["base_failed"] and not rejected)
+
+
 # ---- mixing ----------------------------------------------------------------------------------
 
 def test_mix_equals_sql(spark):
