@@ -32,9 +32,20 @@ def failing(policy: Policy) -> Column:
     return F.coalesce(*[F.when(broken, F.lit(reason)) for broken, reason in rules])
 
 
+def offending(reason: Column) -> Column:
+    """The value of an event ``with_dimensions`` that its reason for rejection is about, as text; NULL if it is the lack of one."""
+    group = F.concat_ws(" against ", F.coalesce("blood_group", F.lit("none")), F.coalesce("_donor_group", F.lit("none")))
+    values = {
+        "Duplicate donation_id": F.col("donation_id"), "Unknown donor_id": F.col("donor_id"), "Unknown blood_bank_id": F.col("blood_bank_id"),
+        "Unknown camp_id": F.col("camp_id"), "blood_group mismatch": group, "Invalid units_donated": F.col("units_donated"),
+        "Invalid donation_status": F.col("donation_status"),
+    }
+    return F.coalesce(*[F.when(reason == name, value.cast("string")) for name, value in values.items()])
+
+
 def judge(events: DataFrame, donors: DataFrame, banks: DataFrame, camps: DataFrame, stored: DataFrame,
           policy: Policy) -> DataFrame:
-    """Adds ``admitted`` and ``reject_reason`` (the first rule that fails).
+    """Adds ``admitted``, ``reject_reason`` (the first rule that fails) and ``rejected_value`` (what failed it).
 
     An id is a duplicate when it is already stored or when an earlier event with the same id was
     admitted. ``donors``, ``banks`` and ``camps`` must be unique by their id. Identical events are
@@ -57,8 +68,8 @@ def judge(events: DataFrame, donors: DataFrame, banks: DataFrame, camps: DataFra
     placed = attach(ruled, repeated, {"donation_id": "donation_id"}, {"_first": "_first"}, spread)
     duplicate = F.col("_stored") | F.coalesce(F.col("_order") > F.col("_first"), F.lit(False))
     reason = F.when(duplicate, F.lit("Duplicate donation_id")).otherwise(F.col("_failing"))
-    copies = placed.select(*events.columns, reason.alias("_reason"), F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy"))
+    copies = placed.select(*events.columns, "_donor_group", reason.alias("_reason"), F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy"))
     later = F.col("_reason").isNull() & (F.col("_copy") > 1)
-    return copies.select(*events.columns, F.when(later, "Duplicate donation_id").otherwise(F.col("_reason")).alias("reject_reason")).withColumn(
-        "admitted", F.col("reject_reason").isNull()
-    )
+    named = copies.withColumn("reject_reason", F.when(later, "Duplicate donation_id").otherwise(F.col("_reason")))
+    return named.select(*events.columns, "reject_reason", F.col("reject_reason").isNull().alias("admitted"),
+                        offending(F.col("reject_reason")).alias("rejected_value"))

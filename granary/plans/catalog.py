@@ -519,6 +519,13 @@ def event_admission(s: Star):
     return judged.select("donation_id", "admitted", "reject_reason")
 
 
+@query
+def event_rejections(s: Star):
+    """Every rejected event with the value that its reason is about."""
+    judged = admission.judge(s.events(), s.donors(), s.banks(), s.camps(), s.raw_donation_ids(), s.policy)
+    return judged.where(~F.col("admitted")).select("donation_id", "reject_reason", "rejected_value")
+
+
 # ---- board -----------------------------------------------------------------------------------
 
 DAY = dt.date(1998, 6, 15)

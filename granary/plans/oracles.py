@@ -465,6 +465,19 @@ _ADMISSION = f"""SELECT donation_id, reason IS NULL AS admitted, reason AS rejec
             e.units_donated NULLS FIRST, e.donation_status NULLS FIRST) AS place,
         {_FAULT} AS fault
     {_FAULT_TABLES}))"""
+_REJECTED = f"""SELECT donation_id, reason AS reject_reason, CASE reason WHEN 'Duplicate donation_id' THEN CAST(donation_id AS VARCHAR)
+        WHEN 'Unknown donor_id' THEN CAST(donor_id AS VARCHAR) WHEN 'Unknown blood_bank_id' THEN CAST(blood_bank_id AS VARCHAR)
+        WHEN 'Unknown camp_id' THEN CAST(camp_id AS VARCHAR)
+        WHEN 'blood_group mismatch' THEN coalesce(blood_group, 'none') || ' against ' || coalesce(donor_group, 'none')
+        WHEN 'Invalid units_donated' THEN CAST(units_donated AS VARCHAR) WHEN 'Invalid donation_status' THEN donation_status END AS rejected_value
+    FROM (SELECT *, CASE WHEN stored OR place > min(CASE WHEN fault IS NULL THEN place END) OVER (PARTITION BY donation_id)
+        THEN 'Duplicate donation_id' ELSE fault END AS reason
+    FROM (SELECT e.*, d.blood_group AS donor_group, e.donation_id IN (SELECT l_orderkey * 8 + l_linenumber FROM lineitem) AS stored,
+        row_number() OVER (PARTITION BY e.donation_id ORDER BY e.event_time NULLS FIRST, e.donor_id NULLS FIRST,
+            e.blood_bank_id NULLS FIRST, e.camp_id NULLS FIRST, e.donation_date NULLS FIRST, e.blood_group NULLS FIRST,
+            e.units_donated NULLS FIRST, e.donation_status NULLS FIRST) AS place,
+        {_FAULT} AS fault
+    {_FAULT_TABLES})) WHERE reason IS NOT NULL"""
 # Two arrivals: an id that the first one admitted is a duplicate in the second, whatever else is wrong.
 _STREAMED = f"""SELECT donation_id, reason IS NULL AS admitted, reason AS reject_reason FROM (
     SELECT donation_id, CASE WHEN repeated AND bool_or(NOT repeated AND fault IS NULL) OVER (PARTITION BY donation_id)
@@ -819,6 +832,7 @@ ORACLES: dict[str, str] = {
     "ledger_invariants": _sql("SELECT * FROM graded", checks="ledger_checks"),
     "check_rollup": _sql(_ROLLUP.replace("{donors}", _DONOR_RULES), checks="ledger_checks"),
     "event_admission": _sql(_ADMISSION),
+    "event_rejections": _sql(_REJECTED),
     # board
     "kpis": _sql("""SELECT CAST(sum(total_available_units) AS BIGINT) AS rare_units,
         count(*) FILTER (availability_status = 'CRITICAL') AS critical_groups,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import by, rows
 from granary.operators import keyed
-from granary.operators.rank import competition_rank, exact_median
+from granary.operators.rank import competition_rank, cuts_above, exact_median
 
 
 def test_dedupe_is_by_preference_and_independent_of_order(spark):
@@ -123,3 +123,11 @@ def test_rank_sorts_no_whole_frame_in_one_task(spark):
         expected[v] = ahead + 1
         ahead += counts[v]
     assert dict(rows(got.select("v", "r").distinct())) == expected
+
+
+def test_cuts_above_equal_a_linear_count(spark):
+    rng = random.Random(9)
+    cases = [(sorted(rng.randint(0, 30) for _ in range(n)), rng.randint(-3, 33)) for n in (0, 1, 2, 3, 7, 8, 9, 63, 64) for _ in range(12)]
+    df = spark.createDataFrame([(c, float(v)) for c, v in cases], "cuts array<int>, v double")
+    got = df.select("cuts", "v", cuts_above(F.col("cuts"), F.col("v"), 64).alias("above")).collect()
+    assert [r["above"] for r in got] == [sum(c > r["v"] for c in r["cuts"]) for r in got]

@@ -138,6 +138,10 @@ def test_admission_reasons(spark, policy):
     got = by(judged, "donation_id")
     assert {i: r["reject_reason"] for i, r in got.items()} == {i: reason for i, (_, reason) in cases.items()}
     assert all(r["admitted"] == (r["reject_reason"] is None) for r in got.values())
+    assert {i: r["rejected_value"] for i, r in got.items()} == {
+        "ok": None, "ok-camp": None, "X1": "X1", "donor": "D9", "nobody": None, "bank": "B9", "camp": "C9", "group": got["group"]["rejected_value"],
+        "units": "0", "no-units": None, "status": "Done", "time": None, "date": None, "two": "C9"}
+    assert got["group"]["rejected_value"].startswith("O- against ")
 
 
 def test_first_acceptable_event_of_an_id_wins(spark, policy):
