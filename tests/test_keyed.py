@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from helpers import by, rows
 from granary.operators import keyed
 from granary.operators.rank import competition_rank, cuts_above, exact_median
+from granary.sources.star import Star
 
 
 def test_dedupe_is_by_preference_and_independent_of_order(spark):
@@ -19,6 +20,16 @@ def test_dedupe_is_by_preference_and_independent_of_order(spark):
         assert rows(keyed.dedupe(df, ["id"], ["v"])) == [(1, "b", 2), (2, "z", 1), (3, "a", 4)]
 
 
+def test_a_copy_that_names_its_bank_goes_before_one_that_does_not(spark, tmp_path):
+    day = dt.datetime(1999, 12, 12)
+    lines = [(1, 1, 9, 49, 38.0, "R", day), (1, 1, 7, 50, 36.0, "A", day), (1, 2, 9, 50, 3.0, "N", day), (1, 2, 9, 51, 4.0, "N", day)]
+    names = "l_orderkey long, l_linenumber int, l_suppkey long, l_partkey long, l_quantity double, l_returnflag string, l_shipdate timestamp_ntz"
+    spark.createDataFrame(lines, names).write.parquet(f"{tmp_path}/lineitem.parquet")
+    kept = Star(spark, str(tmp_path)).unique_lines()
+    # Part 49 has no bank; part 51 has no camp, which is known of it.
+    assert rows(kept, "l_linenumber", "blood_bank_id", "camp_id", "units_donated") == [(1, 7, 50, 36), (2, 9, None, 4)]
+
+
 def test_rows_without_a_key_are_kept_apart(spark):
     df = spark.createDataFrame([(None, 1), (None, 1), (None, 2), (7, 3), (7, 3)], "id int, v int")
     assert rows(keyed.dedupe(df, ["id"])) == [(None, 1), (None, 1), (None, 2), (7, 3)]
