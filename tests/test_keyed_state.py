@@ -4,6 +4,7 @@ import time
 
 import pytest
 from helpers import rows
+from pyspark.sql import Row
 
 from granary.sources import schemas
 from granary.streaming import ingest, keyed_state, windows
@@ -50,6 +51,47 @@ def test_one_event_per_id_is_admitted_within_and_across_batches_and_restarts(adm
     assert not (tmp_path / "out_ids").exists()
 
 
+class Remembered(dict):
+    """A map state that counts the messages to its store."""
+
+    messages = 0
+
+    def exists(self):
+        self.messages += 1
+        return bool(self)
+
+    def containsKey(self, key):
+        self.messages += 1
+        return key in self
+
+    def updateValue(self, key, value):
+        self.messages += 1
+        self[key] = value
+
+
+class Waiting(list):
+    appendList, get = list.extend, list.copy
+
+
+@pytest.mark.parametrize("at_once", [1, 2, 10_000])
+def test_ids_of_a_bucket_meet_in_one_call_and_ask_the_store_once(monkeypatch, at_once):
+    monkeypatch.setattr(keyed_state, "HELD_AT_ONCE", at_once)
+    columns, admitted, waiting = ["donation_id", "event_time", "units"], Remembered(), Waiting()
+    processor = keyed_state._admit_once(columns, {"donation_id": "string", "event_time": "int"}, "", None)
+    processor.init(type("Handle", (), {"getMapState": lambda *_: admitted, "getListState": lambda *_: waiting})())
+    given = Row(*columns, "_failing")
+
+    def call(*events):
+        before, admitted.messages = admitted.messages, 0
+        return sorted((r.donation_id, r.event_time, r.reject_reason or "") for r in processor.handleInputRows((7,), iter([given(*e) for e in events]), None)), admitted.messages
+
+    first, asked = call(("a", 2, 1, None), ("b", 1, 0, "bad"), ("a", 1, 1, None), ("a", 0, 0, "bad"), ("a", 3, 0, "bad"), ("c", 5, 1, None), ("b", 2, 0, "bad"))
+    assert first == [("a", 0, "bad"), ("a", 1, ""), ("a", 2, DUPLICATE), ("a", 3, DUPLICATE), ("b", 1, "bad"), ("b", 2, "bad"), ("c", 5, "")]
+    assert asked == 1 + 2 and admitted == {("a",): (1,), ("c",): (5,)} and not waiting
+    again, asked = call(*[("a", n, 0, "bad") for n in range(50)], ("b", 9, 1, None))
+    assert again == [*[("a", n, DUPLICATE) for n in range(50)], ("b", 9, "")] and asked == 1 + 2 + 1
+
+
 def test_events_without_an_id_are_judged_by_the_rules_alone(admit, tmp_path):
     land(tmp_path / "landing", "a", dict(donation_id=None), dict(donation_id=None, blood_bank_id=None))
     assert admit() == [(None, 1, None), (None, 1, "Unknown blood_bank_id")]
