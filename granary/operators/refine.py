@@ -184,9 +184,6 @@ def enrich(facts: DataFrame, donor_dim: DataFrame, bank_dim: DataFrame, camp_dim
 def layer_metrics(batch: DataFrame, live: DataFrame | None, enriched: DataFrame) -> DataFrame:
     """One row of row counts per stage. Enrichment keeps the row count of the clean layer, so one pass over
     the enriched rows gives both; the parts meet as one-row subqueries."""
-    def rows(df: DataFrame) -> Column:
-        return df.agg(F.count(F.lit(1))).scalar()
-
     status = F.col("overall_data_quality_status")
     counted = enriched.agg(
         F.count(F.lit(1)).alias("_kept"),
@@ -197,6 +194,48 @@ def layer_metrics(batch: DataFrame, live: DataFrame | None, enriched: DataFrame)
         F.count_if(~F.col("blood_bank_exists")).alias("missing_blood_bank_matches"),
         F.count_if(~F.col("inventory_record_exists")).alias("missing_inventory_matches"),
     )
+    return _with_arrivals(batch, live, counted)
+
+
+def layer_metrics_by_key(batch: DataFrame, live: DataFrame | None, clean: DataFrame, donor_dim: DataFrame, bank_dim: DataFrame,
+                         stock: DataFrame) -> DataFrame:
+    """``layer_metrics`` of clean rows that nobody needs enriched: no row is sent to a dimension.
+
+    Rows are counted per referenced key, stacked on the keys that exist and grouped once; what a key counts is
+    missing if no dimension row shares it. A key with a NULL part is referenced and never exists.
+    """
+    donor, bank, group, nothing = F.col("donor_id"), F.col("blood_bank_id"), F.col("blood_group"), F.lit(None)
+    types = {df.schema["donor_id"].dataType for df in (clean, donor_dim)} | {df.schema["blood_bank_id"].dataType for df in (clean, bank_dim, stock)}
+    key_type = types.pop() if len(types) == 1 else "string"
+
+    def part(kind: Column, key: Column = nothing, group: Column = nothing) -> Column:
+        return F.struct(kind.alias("_kind"), key.cast(key_type).alias("_key"), group.cast("string").alias("_group"))
+
+    asked = clean.select(F.inline(F.array(
+        part(F.lit("donor"), donor), part(F.lit("bank"), bank), part(F.lit("stock"), bank, group),
+        part(F.lit("kept")), part(F.col("overall_data_quality_status")), part(F.when(F.col("is_rare_blood"), F.lit("rare"))),
+    )))
+    there = [donor_dim.select(part(F.lit("donor"), donor).alias("_part")), bank_dim.select(part(F.lit("bank"), bank).alias("_part")),
+             stock.where(group.isNotNull()).select(part(F.lit("stock"), bank, group).alias("_part"))]
+    stacked = asked.select("*", F.lit(1).cast("bigint").alias("_n"), F.lit(False).alias("_exists"))
+    for keys in there:
+        stacked = stacked.unionByName(keys.select("_part.*").where(F.col("_key").isNotNull()).select("*", F.lit(0).cast("bigint").alias("_n"), F.lit(True).alias("_exists")))
+    counts = stacked.groupBy("_kind", "_key", "_group").agg(F.sum("_n").alias("_n"), F.max("_exists").alias("_exists"))
+
+    def total(kind: str) -> Column:
+        return F.coalesce(F.sum(F.when((F.col("_kind") == kind) & ~F.col("_exists"), F.col("_n"))), F.lit(0))
+
+    return _with_arrivals(batch, live, counts.agg(*[total(kind).alias(name) for kind, name in {
+        "kept": "_kept", "VALID": "valid_donations", "REVIEW": "records_requiring_review", "rare": "rare_blood_donations",
+        "donor": "missing_donor_matches", "bank": "missing_blood_bank_matches", "stock": "missing_inventory_matches",
+    }.items()]))
+
+
+def _with_arrivals(batch: DataFrame, live: DataFrame | None, counted: DataFrame) -> DataFrame:
+    """Counts of the clean layer, with those of what arrived in front."""
+    def rows(df: DataFrame) -> Column:
+        return df.agg(F.count(F.lit(1))).scalar()
+
     live_rows = F.lit(0).cast("bigint") if live is None else rows(live)
     sized = counted.select(rows(batch).alias("historical_donations"), live_rows.alias("streaming_donations"),
                            "*")

@@ -261,7 +261,7 @@ def enrich(s: Star):
 @query
 def layer_metrics(s: Star):
     clean = refine.with_quality(keyed.dedupe(_one_stream(s), ["donation_id"], ["source"]), s.policy)
-    return refine.layer_metrics(s.donation_lines(), s.events(), _enriched(s, clean))
+    return refine.layer_metrics_by_key(s.donation_lines(), s.events(), clean, s.donors(), s.banks(), s.inventory())
 
 
 # ---- ledger ----------------------------------------------------------------------------------

@@ -111,6 +111,18 @@ def test_enrichment_flags(spark, policy):
     assert {r["status"] for r in checks.enrichment(clean, enriched).collect()} == {"PASS"}
 
 
+def test_layer_metrics_by_key_equal_those_of_enriched_rows_and_send_no_row_to_a_dimension(spark, policy):
+    clean = refine.with_quality(refine.donations(raw_donations(spark), policy), policy)
+    odd = clean.limit(1).withColumns({"donor_id": F.lit(None).cast("string"), "blood_bank_id": F.lit("nowhere"), "blood_group": F.lit(None).cast("string")})
+    clean = clean.unionByName(odd).unionByName(odd.withColumn("blood_bank_id", F.lit(None).cast("string")))
+    donors, banks, camps, stock = dims(spark, policy)
+    for facts in (clean, clean.limit(0)):
+        by_key = refine.layer_metrics_by_key(raw_donations(spark), live_donations(spark), facts, donors, banks, stock)
+        enriched = refine.layer_metrics(raw_donations(spark), live_donations(spark), refine.enrich(facts, donors, banks, camps, stock))
+        assert by_key.dtypes == enriched.dtypes and by_key.collect() == enriched.collect()
+    assert "Join" not in by_key._jdf.queryExecution().optimizedPlan().toString().replace("JoinedRow", "")
+
+
 def test_layer_metrics(spark, policy):
     parts, clean = cleaned(spark, policy)
     row = refine.layer_metrics(raw_donations(spark), live_donations(spark), refine.enrich(clean, *dims(spark, policy))).collect()[0]
