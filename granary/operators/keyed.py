@@ -22,6 +22,11 @@ def _slot_of(columns: Sequence[Column]) -> Column:
     return F.xxhash64(*columns)
 
 
+def _no_slot(columns: Sequence[Column]) -> Column:
+    """Zero that follows from columns, so that it is not folded out of a join key; unlike a hash it packs to nothing."""
+    return _slot_of(columns).bitwiseAND(F.lit(0).cast("bigint"))
+
+
 def dedupe(df: DataFrame, keys: Sequence[str], prefer: Sequence[str] = (), collapse_null_keys: bool = False,
            known_first: Sequence[str] = ()) -> DataFrame:
     """One row per key: the smallest by ``prefer``, then by every other column.
@@ -67,21 +72,19 @@ def attach(fact: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Mapping
 
     ``on`` maps fact key to dimension key. Fact rows with a NULL key part can match nothing, so
     when ``spread`` names a fact column they take its full hash as a second join key instead of all
-    landing on the one partition that NULL hashes to. Rows with a key take the hash of their key,
-    which the dimension row shares; a constant would be folded out of the join key.
+    landing on the one partition that NULL hashes to. Rows with a key take zero, as the dimension row does.
     ``found`` adds a flag telling whether the dimension row existed, independent of NULLs in its
     attributes.
     """
     side = dim.select(
         *[F.col(theirs).alias(f"_k{i}") for i, theirs in enumerate(on.values())],
         *[F.col(column).alias(name) for column, name in take.items()],
-        _slot_of([F.col(theirs) for theirs in on.values()]).alias("_slot"),
+        _no_slot([F.col(theirs) for theirs in on.values()]).alias("_slot"),
         F.lit(True).alias("_found"),
     )
     kept = fact.columns
     if spread is not None:
-        same_type = [F.col(ours).try_cast(dim.schema[theirs].dataType) for ours, theirs in on.items()]
-        slot = F.when(_any_null(list(on)), _slot_of([F.col(spread)])).otherwise(_slot_of(same_type))
+        slot = F.when(_any_null(list(on)), _slot_of([F.col(spread)])).otherwise(_no_slot([F.col(ours) for ours in on]))
         fact = fact.withColumn("_fact_slot", slot)
     pairs = [fact[ours] == side[f"_k{i}"] for i, ours in enumerate(on)]
     if spread is not None:

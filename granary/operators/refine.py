@@ -163,12 +163,15 @@ def enrich(facts: DataFrame, donor_dim: DataFrame, bank_dim: DataFrame, camp_dim
     older reading, where a found row whose name (or unit count) is NULL counts as missing.
     """
     spread = "donation_id"
-    wide = attach(facts, donor_dim, {"donor_id": "donor_id"}, DONOR_VIEW, spread, "_donor")
+    # Attributes travel with all later lookups: those that weigh most, the donor's, come last.
+    wide = attach(facts, camp_dim, {"camp_id": "camp_id"}, CAMP_VIEW, spread, "_camp")
     wide = attach(wide, bank_dim, {"blood_bank_id": "blood_bank_id"}, BANK_VIEW, spread, "_bank")
-    wide = attach(wide, camp_dim, {"camp_id": "camp_id"}, CAMP_VIEW, spread, "_camp")
     wide = attach(
         wide, stock, {"blood_bank_id": "blood_bank_id", "blood_group": "blood_group"}, STOCK_VIEW, spread, "_stock"
     )
+    wide = attach(wide, donor_dim, {"donor_id": "donor_id"}, DONOR_VIEW, spread, "_donor")
+    views = [DONOR_VIEW, BANK_VIEW, CAMP_VIEW, STOCK_VIEW]
+    wide = wide.select(*facts.columns, *[name for view in views for name in view.values()], "_donor", "_bank", "_camp", "_stock")
     names = {"_donor": "donor_name", "_bank": "blood_bank_name", "_camp": "camp_name", "_stock": "current_available_units"}
     seen = {k: F.col(n).isNotNull() if attribute_flags else F.col(k) for k, n in names.items()}
     # No camp referenced, or no donor found, is not a mismatch: those flags stay unknown.

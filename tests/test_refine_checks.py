@@ -111,6 +111,18 @@ def test_enrichment_flags(spark, policy):
     assert {r["status"] for r in checks.enrichment(clean, enriched).collect()} == {"PASS"}
 
 
+def test_the_heaviest_attributes_travel_last_and_keyed_rows_carry_no_hash(spark, policy, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    _, clean = cleaned(spark, policy)
+    wide = refine.enrich(clean, *dims(spark, policy))
+    assert wide.columns[:len(clean.columns)] == clean.columns and wide.columns[len(clean.columns)] == "donor_name"
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    joined = [key for line in plan.splitlines() if "Join LeftOuter" in line for key in ("camp_id", "blood_group", "donor_id") if f"({key}#" in line]
+    assert joined == ["donor_id", "blood_group", "camp_id"]  # from the last to the first; the bank has no name of its own here
+    slots = keyed.attach(clean, dims(spark, policy)[0], {"donor_id": "donor_id"}, {}, "donation_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_fact_slot" in slots[slots.index("Join"):].splitlines()[0] and " & 0)" in slots
+
+
 def test_layer_metrics_by_key_equal_those_of_enriched_rows_and_send_no_row_to_a_dimension(spark, policy):
     clean = refine.with_quality(refine.donations(raw_donations(spark), policy), policy)
     odd = clean.limit(1).withColumns({"donor_id": F.lit(None).cast("string"), "blood_bank_id": F.lit("nowhere"), "blood_group": F.lit(None).cast("string")})
