@@ -10,7 +10,9 @@ from granary.plans.oracles import ORACLES
 from test_catalog import FOLDER, TABLES, same
 
 # Queries that read the deduplicated donations.
-NAMES = ["dedup"]
+NAMES = [
+    "dedup", "banks_by_units",
+]
 
 
 @pytest.fixture(scope="module")
