@@ -11,7 +11,7 @@ from test_catalog import FOLDER, TABLES, same
 
 # Queries that read the deduplicated donations.
 NAMES = [
-    "dedup", "banks_by_units", "camp_performance", "clean_donations", "contribution", "daily_summary",
+    "dedup", "banks_by_units", "camp_performance", "clean_donations", "contribution", "daily_summary", "daily_trend",
 ]
 
 
