@@ -12,7 +12,7 @@ from test_catalog import FOLDER, TABLES, same
 # Queries that read the deduplicated donations.
 NAMES = [
     "dedup", "banks_by_units", "camp_performance", "clean_donations", "contribution", "daily_summary", "daily_trend",
-    "day_range", "distribution", "donor_pool", "donor_roster",
+    "day_range", "distribution", "donor_pool", "donor_roster", "donors_by_group",
 ]
 
 
