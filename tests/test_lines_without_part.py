@@ -11,6 +11,7 @@ from test_catalog import FOLDER, TABLES, same
 
 NAMES = [
     "dedup", "banks_by_units", "camp_performance", "clean_donations", "contribution", "daily_summary", "daily_trend",
+    "day_range",
 ]
 
 
