@@ -95,12 +95,15 @@ class Star:
         )
 
     def donation_lines(self) -> DataFrame:
-        """Donations before their order is known: keyed by (order, line), with the copies still in."""
+        """Donations before their order is known: keyed by (order, line), with the copies still in.
+
+        A quantity that is not whole counts as the nearest whole number of units, the even one of two.
+        """
         return self.table("lineitem").select(
             "l_orderkey", "l_linenumber", astray(F.col("l_suppkey"), F.col("l_partkey"), 41).alias("blood_bank_id"),
             F.when(F.col("l_partkey") % 3 != 0, F.col("l_partkey")).alias("camp_id"),
             F.to_date("l_shipdate").alias("donation_date"),
-            F.col("l_quantity").cast("int").alias("units_donated"),
+            F.rint("l_quantity").cast("int").alias("units_donated"),
             translate(F.col("l_returnflag"), RETURN_STATUS).alias("donation_status"),
         )
 
