@@ -8,7 +8,7 @@ import pytest
 from granary.plans.catalog import QUERIES
 from test_catalog import FOLDER, TABLES, same
 
-NAMES = ["clean_donations", "daily_summary"]
+NAMES = ["clean_donations", "daily_summary", "camp_performance"]
 
 
 @pytest.fixture(scope="module")
