@@ -8,7 +8,7 @@ import pytest
 from granary.plans.catalog import QUERIES
 from test_catalog import FOLDER, TABLES, same
 
-NAMES = ["daily_summary", "camp_performance"]
+NAMES = ["daily_summary", "camp_performance", "contribution"]
 
 
 @pytest.fixture(scope="module")
