@@ -126,9 +126,10 @@ def donor_roster(donations: DataFrame, donors: DataFrame, policy: Policy) -> Dat
 
 
 def donor_pool(roster: DataFrame) -> DataFrame:
-    """Watch-listed donors per group, by the donor's own group."""
+    """Watch-listed donors per group, by the donor's own group; donors without an id are one each."""
     gave = F.when(F.col("total_donations") > 0, F.col("donor_id"))
     return roster.where("is_rare_blood_donor").groupBy("blood_group").agg(
-        F.count_distinct("donor_id").alias("total_donors"), F.count_distinct(gave).alias("active_donors"),
+        (F.count_distinct("donor_id") + F.count_if(F.col("donor_id").isNull())).alias("total_donors"),
+        F.count_distinct(gave).alias("active_donors"),
         F.sum("total_donations").alias("total_donations"), F.sum("total_units_donated").alias("total_units_donated"),
     ).orderBy("blood_group")

@@ -8,7 +8,7 @@ import pytest
 from granary.plans.catalog import QUERIES
 from test_catalog import FOLDER, TABLES, same
 
-NAMES = ["clean_donations", "daily_summary", "camp_performance", "contribution", "daily_trend"]
+NAMES = ["clean_donations", "daily_summary", "camp_performance", "contribution", "daily_trend", "donor_pool"]
 
 
 @pytest.fixture(scope="module")
