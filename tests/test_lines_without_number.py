@@ -8,7 +8,7 @@ import pytest
 from granary.plans.catalog import QUERIES
 from test_catalog import FOLDER, TABLES, same
 
-NAMES = ["daily_summary", "camp_performance", "contribution", "daily_trend", "donor_pool"]
+NAMES = ["daily_summary", "camp_performance", "contribution", "daily_trend", "donor_pool", "donor_roster"]
 
 
 @pytest.fixture(scope="module")
