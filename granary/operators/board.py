@@ -73,7 +73,7 @@ def donor_figures(roster: DataFrame) -> DataFrame:
 
 def donors_by_group(roster: DataFrame) -> DataFrame:
     return roster.groupBy("blood_group").agg(
-        F.count("donor_id").alias("donor_count"), F.sum("total_units_donated").alias("total_units_donated"),
+        F.count(F.lit(1)).alias("donor_count"), F.sum("total_units_donated").alias("total_units_donated"),
     ).orderBy(F.desc("donor_count"), "blood_group")
 
 
