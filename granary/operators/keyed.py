@@ -94,6 +94,41 @@ def attach(fact: DataFrame, dim: DataFrame, on: Mapping[str, str], take: Mapping
     return joined.select(*[fact[c] for c in kept], *[side[n] for n in take.values()], *extra)
 
 
+def attach_with_line(fact: DataFrame, parent: DataFrame, lines: DataFrame, key: tuple[str, str], line_key: tuple[str, str],
+                     take: Mapping[str, str], line_take: Mapping[str, str], spread: str, found: str, line_found: str) -> DataFrame:
+    """``attach`` of a parent and of one of its lines in one join, so that fact rows travel once for both.
+
+    ``key`` names the parent in the fact and in both dimensions, ``line_key`` what picks a line in the fact and in
+    ``lines``. A parent's lines are gathered beside it and laid out as rows, after a row for the facts that none of them
+    is for. A parent without lines is found, and so are lines without a parent.
+    """
+    (ours, theirs), (pick, line) = key, line_key
+    gathered = lines.where(~_any_null([theirs, line])).groupBy(F.col(theirs).alias("_of")).agg(F.collect_list(F.struct(
+        F.col(line).alias("_line"), *[F.col(column).alias(name) for column, name in line_take.items()], F.lit(True).alias("_line_found"),
+    )).alias("_lines"))
+    parents = parent.where(F.col(theirs).isNotNull()).select(
+        F.col(theirs).alias("_id"), *[F.col(column).alias(name) for column, name in take.items()], F.lit(True).alias("_found")
+    )
+    names = parents.join(gathered, F.col("_id") == F.col("_of"), "full_outer").withColumns({
+        "_k0": F.coalesce("_id", "_of"), "_names": F.coalesce(F.col("_lines._line"), F.array().cast(f"array<{lines.schema[line].dataType.simpleString()}>")),
+    })
+    # The row at place 0 is the parent's own, with the names of all its lines; those after it are its lines.
+    places = names.select("_k0", *take.values(), "_found", "_names", "_lines", F.explode(F.sequence(F.lit(0), F.size("_names"))).alias("_place"))
+    own, at = F.col("_place") == 0, F.get("_lines", F.col("_place") - 1)
+    side = places.select(
+        "_k0", *take.values(), "_found", F.when(own, F.col("_names")).alias("_listed"), _no_slot([F.col("_k0")]).alias("_slot"),
+        *[at.getField(c).alias(c) for c in ("_line", *line_take.values(), "_line_found")],
+    )
+    kept = fact.columns
+    fact = fact.withColumn("_fact_slot", F.when(F.col(ours).isNull(), _slot_of([F.col(spread)])).otherwise(_no_slot([F.col(ours)])))
+    for_none = ~F.coalesce(F.array_contains(side["_listed"], fact[pick]), side["_listed"].isNull())
+    joined = fact.join(side, (fact[ours] == side["_k0"]) & (fact["_fact_slot"] == side["_slot"]) & ((fact[pick] == side["_line"]) | for_none), "left")
+    return joined.select(
+        *[fact[c] for c in kept], *[side[n] for n in (*take.values(), *line_take.values())],
+        F.coalesce("_found", F.lit(False)).alias(found), F.coalesce("_line_found", F.lit(False)).alias(line_found),
+    )
+
+
 def known(fact: DataFrame, column: str, parent: DataFrame, parent_key: str, flag: str, spread: str | None = None) -> DataFrame:
     """Flag rows whose ``column`` exists among the parent's keys; NULL keys are not known."""
     ids = parent.select(F.col(parent_key).alias("_id")).where(F.col("_id").isNotNull()).distinct()

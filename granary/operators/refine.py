@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions import flags, text
-from granary.operators.keyed import attach, dedupe, known
+from granary.operators.keyed import attach, attach_with_line, dedupe, known
 from granary.policy import Policy
 
 # The common shape of batch and live donations.
@@ -165,9 +165,9 @@ def enrich(facts: DataFrame, donor_dim: DataFrame, bank_dim: DataFrame, camp_dim
     spread = "donation_id"
     # Attributes travel with all later lookups: those that weigh most, the donor's, come last.
     wide = attach(facts, camp_dim, {"camp_id": "camp_id"}, CAMP_VIEW, spread, "_camp")
-    wide = attach(wide, bank_dim, {"blood_bank_id": "blood_bank_id"}, BANK_VIEW, spread, "_bank")
-    wide = attach(
-        wide, stock, {"blood_bank_id": "blood_bank_id", "blood_group": "blood_group"}, STOCK_VIEW, spread, "_stock"
+    # A stock line is its bank's: both are found where the bank's rows meet, and rows travel once less.
+    wide = attach_with_line(
+        wide, bank_dim, stock, ("blood_bank_id", "blood_bank_id"), ("blood_group", "blood_group"), BANK_VIEW, STOCK_VIEW, spread, "_bank", "_stock"
     )
     wide = attach(wide, donor_dim, {"donor_id": "donor_id"}, DONOR_VIEW, spread, "_donor")
     views = [DONOR_VIEW, BANK_VIEW, CAMP_VIEW, STOCK_VIEW]
