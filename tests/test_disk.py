@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from helpers import rows
 from granary.operators.shared_store import RELEASE, shuffles_released
 from granary.plans import landed
+from granary.plans.layers import run_all
 from granary.sources import files
 from granary.sources.star import Star
+from test_layers import lake  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
@@ -60,3 +62,13 @@ def test_raw_text_lands_packed_in_files_of_bounded_rows(spark, tmp_path, monkeyp
     wanted = star.raw_donations().select(F.col("donation_id").cast("string"), F.col("donor_id").cast("string"), "blood_group")
     assert rows(text) == rows(wanted) and max(r["count"] for r in text.groupBy("_metadata.file_path").count().collect()) <= 1000
     assert spark.read.schema(star.events().schema).json(str(tmp_path / "landing")).count() == star.events().count()
+
+
+def test_the_whole_job_keeps_no_shuffle_files(spark, lake, policy):  # noqa: F811
+    before = shuffle_files(spark)
+    run_all(spark, lake, policy)
+    for _ in range(50):
+        if shuffle_files(spark) <= before:
+            break
+        time.sleep(0.2)
+    assert shuffle_files(spark) <= before
